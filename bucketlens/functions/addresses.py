@@ -5,14 +5,14 @@ An address becomes a family digit and its hexadecimal digits: ``4`` + 8 digits o
 address up is an equality on prefixes, for both families alike.
 """
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_IPV4 = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
+_IPV4 = rf"^{_OCTET}(?:\.{_OCTET}){{3}}\z"
 _GROUPS = r"[0-9a-f]{1,4}(?::[0-9a-f]{1,4})*"
-_IPV6 = rf"^(?:(?:{_GROUPS})?::(?:{_GROUPS})?|[0-9a-f]{{1,4}}(?::[0-9a-f]{{1,4}}){{7}})$"
-_MAPPED = "6" + "0" * 20 + "ffff"
+_IPV6 = rf"^(?:(?:{_GROUPS})?::(?:{_GROUPS})?|[0-9a-f]{{1,4}}(?::[0-9a-f]{{1,4}}){{7}})\z"
+_MAPPED = "0" * 20 + "ffff"
 
 IPV4_DIGITS = 8
 IPV6_DIGITS = 32
@@ -25,39 +25,43 @@ def ipv4_hex(ip: Column) -> Column:
     return F.when(ip.rlike(_IPV4), F.lower(F.concat(*digits)))
 
 
-def ipv6_hex(ip: Column) -> Column:
-    """32 hexadecimal digits of a valid IPv6 address, else NULL."""
-    text = F.lower(ip)
-    dotted = F.regexp_extract(text, r"^(.*:)([0-9.]+\.[0-9.]+)$", 2)
-    as_hex = ipv4_hex(dotted)
-    text = F.when(dotted == "", text).otherwise(
-        F.concat(
-            F.regexp_extract(text, r"^(.*:)([0-9.]+\.[0-9.]+)$", 1),
-            F.substring(as_hex, 1, 4),
-            F.lit(":"),
-            F.substring(as_hex, 5, 4),
-        )
-    )
-    halves = F.split(text, "::", -1)
+def with_ipv6_hex(df: DataFrame, ip: Column, name: str) -> DataFrame:
+    """Add the 32 hexadecimal digits of a valid IPv6 address, NULL for other text.
+
+    Built up in steps, so that each intermediate value is worked out once.
+    """
+    dotted_end = r"^(.*:)([0-9.]+\.[0-9.]+)$"
+    text, last, halves, head, tail = (F.col(c) for c in ("_text", "_last", "_halves", "_head", "_tail"))
 
     def groups(i: int) -> Column:
         present = F.filter(F.split(F.coalesce(F.get(halves, F.lit(i)), F.lit("")), ":"), lambda g: g != "")
         return F.transform(present, lambda g: F.lpad(g, 4, "0"))
 
-    head, tail = groups(0), groups(1)
+    as_groups = F.concat(
+        F.regexp_extract(text, dotted_end, 1), F.substring(last, 1, 4), F.lit(":"), F.substring(last, 5, 4)
+    )
+    split = (
+        df.withColumn("_text", F.lower(F.when(F.instr(ip, ":") > 0, ip)))
+        .withColumn("_last", ipv4_hex(F.regexp_extract(text, dotted_end, 2)))
+        .withColumn("_text", F.when(F.contains(text, F.lit(".")), as_groups).otherwise(text))
+        .withColumn("_halves", F.split(text, "::", -1))
+        .withColumns({"_head": groups(0), "_tail": groups(1)})
+    )
     missing = F.lit(8) - F.size(head) - F.size(tail)
     complete = F.when(F.size(halves) == 2, missing >= 1).otherwise(missing == 0)
-    return F.when(
-        text.rlike(_IPV6) & complete,
-        F.concat(F.array_join(head, ""), F.repeat(F.lit("0000"), missing), F.array_join(tail, "")),
+    digits = F.concat(F.array_join(head, ""), F.repeat(F.lit("0000"), missing), F.array_join(tail, ""))
+    return split.withColumn(name, F.when(text.rlike(_IPV6) & complete, digits)).drop(
+        "_text", "_last", "_halves", "_head", "_tail"
     )
 
 
-def address_text(ip: Column) -> Column:
-    """Family digit and hexadecimal digits; NULL for text that is no address.
+def with_address_text(df: DataFrame, ip: Column, name: str) -> DataFrame:
+    """Add family digit and hexadecimal digits; NULL for text that is no address.
 
     IPv4 addresses written inside IPv6 (``::ffff:a.b.c.d``) count as IPv4.
     """
-    v6 = F.concat(F.lit("6"), ipv6_hex(ip))
-    v6 = F.when(v6.startswith(_MAPPED), F.concat(F.lit("4"), F.substring(v6, 26, 8))).otherwise(v6)
-    return F.when(F.instr(ip, ":") > 0, v6).otherwise(F.concat(F.lit("4"), ipv4_hex(ip)))
+    v6 = F.col("_v6")
+    text6 = F.when(v6.startswith(_MAPPED), F.concat(F.lit("4"), F.substring(v6, 25, 8))).otherwise(
+        F.concat(F.lit("6"), v6)
+    )
+    return with_ipv6_hex(df, ip, "_v6").withColumn(name, F.coalesce(F.concat(F.lit("4"), ipv4_hex(ip)), text6)).drop("_v6")

@@ -59,40 +59,42 @@ def geo_table(ranges: DataFrame | None = None, networks: DataFrame | None = None
 def _range_prefixes(ranges: DataFrame) -> DataFrame:
     """Cut IPv4 ranges into hexadecimal prefixes, at most 240 per range.
 
-    With blocks of 16**k addresses, a range covers the blocks from ceil(start)
-    to floor(end). Those inside a larger covered block are left to it, which
-    leaves up to 15 blocks at either side on each level.
+    In blocks of 16**k addresses, a range covers the blocks from ceil(start) to
+    floor(end). Those inside a larger covered block are left to it, which leaves up
+    to 15 blocks at either side on each level.
     """
-    start, stop = F.col("range_start"), F.col("range_end") + 1
-
-    def first(k: int) -> Column:
-        return F.call_function("div", start + F.lit(16**k - 1), F.lit(16**k))
-
-    def last(k: int) -> Column:
-        return F.call_function("div", stop, F.lit(16**k))
-
-    def blocks(k: int, low: Column, high: Column) -> Column:
-        numbers = F.when(low < high, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))
-        digits = A.IPV4_DIGITS - k
-        return F.transform(
-            numbers,
-            lambda n: F.concat(F.lit("4"), F.substring(F.lower(F.lpad(F.hex(n), 8, "0")), 9 - digits, digits))
-            if digits
-            else F.lit("4"),
-        )
+    start, stop, level = F.col("range_start"), F.col("range_end") + 1, F.col("level")
+
+    def shift(direction: str, value: Column, digits: Column) -> Column:
+        return F.call_function(f"shift{direction}", value, digits * 4)
+
+    def first(k: Column) -> Column:
+        return shift("right", start + shift("left", F.lit(1).cast("bigint"), k) - 1, k)
 
-    levels = []
-    for k in range(A.IPV4_DIGITS):
-        inner_low, inner_high = first(k + 1), last(k + 1)
-        nested = inner_low < inner_high
-        levels.append(blocks(k, first(k), F.when(nested, inner_low * 16).otherwise(last(k))))
-        levels.append(blocks(k, F.when(nested, inner_high * 16).otherwise(last(k)), last(k)))
-    levels.append(blocks(A.IPV4_DIGITS, first(A.IPV4_DIGITS), last(A.IPV4_DIGITS)))
-    return ranges.where("range_start <= range_end").select(
-        F.explode(F.concat(*levels)).alias("prefix"),
+    def blocks(low: Column, high: Column) -> Column:
+        return F.when(low < high, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    levels = ranges.where("range_start <= range_end").select(
+        start, stop.alias("stop"), "iso_code", F.explode(F.sequence(F.lit(0), F.lit(A.IPV4_DIGITS))).alias("level")
+    )
+    stop = F.col("stop")
+    covered = levels.select(
+        "iso_code",
         (stop - start).cast("double").alias("width"),
-        F.col("iso_code"),
+        (F.lit(A.IPV4_DIGITS) - level).alias("digits"),
+        first(level).alias("low"),
+        shift("right", stop, level).alias("high"),
+        (first(level + 1) * 16).alias("inner_low"),
+        (shift("right", stop, level + 1) * 16).alias("inner_high"),
     )
+    low, high, inner_low, inner_high = (F.col(c) for c in ("low", "high", "inner_low", "inner_high"))
+    nested = inner_low < inner_high
+    outside = F.when(nested, F.concat(blocks(low, inner_low), blocks(inner_high, high))).otherwise(blocks(low, high))
+    numbers = covered.select("iso_code", "width", "digits", F.explode(outside).alias("block"))
+    text = F.lower(F.lpad(F.hex("block"), A.IPV4_DIGITS, "0"))
+    digits = F.col("digits")
+    prefix = F.concat(F.lit("4"), F.substring(text, F.lit(A.IPV4_DIGITS + 1) - digits, digits))
+    return numbers.select(prefix.alias("prefix"), "width", "iso_code")
 
 
 def _ipv4_networks(networks: DataFrame) -> DataFrame:
@@ -121,12 +123,8 @@ def _ipv6_prefixes(networks: DataFrame) -> DataFrame:
     endings = F.when(bits % 4 > 0, digits).otherwise(F.array(F.lit("")))
     text = F.split_part("network", F.lit("/"), F.lit(1))
     return (
-        networks.where(F.instr("network", ":") > 0)
-        .select(
-            A.ipv6_hex(text).alias("_hex"),
-            F.split_part("network", F.lit("/"), F.lit(2)).try_cast("int").alias("_bits"),
-            "iso_code",
-        )
+        A.with_ipv6_hex(networks, text, "_hex")
+        .select("_hex", F.split_part("network", F.lit("/"), F.lit(2)).try_cast("int").alias("_bits"), "iso_code")
         .where(F.col("_hex").isNotNull() & bits.between(0, 128))
         .select(
             F.concat(F.lit("6"), F.substring("_hex", F.lit(1), whole)).alias("_prefix"),
@@ -152,9 +150,8 @@ def resolve_addresses(keyed: DataFrame, geo: GeoTable, keys: list[str], address:
         return F.when(F.col("_address").startswith(family), F.array(*cuts)) if cuts else F.lit(None)
 
     rest = [c for c in keyed.columns if c not in keys]
-    tried = keyed.withColumn("_address", A.address_text(address)).select(
-        *keyed.columns, F.explode_outer(F.coalesce(prefixes_of("4"), prefixes_of("6"), F.lit(None).cast("array<string>"))).alias("prefix")
-    )
+    cuts = F.coalesce(prefixes_of("4"), prefixes_of("6"), F.lit(None).cast("array<string>"))
+    tried = A.with_address_text(keyed, address, "_address").select(*keyed.columns, F.explode_outer(cuts).alias("prefix"))
     prefixes = F.broadcast(geo.prefixes) if geo.broadcastable else geo.prefixes
     found = tried.join(prefixes, "prefix", "left")
     # Prefixes that met no range have a NULL rank, and min_by passes over them.

@@ -1,6 +1,6 @@
 """Access logs, address ranges and history derived from the given tables."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bucketlens import schema as S
@@ -17,75 +17,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(selector: Column, choices: dict[tuple[int, int], Column]) -> Column:
-    picked = None
-    for (low, high), value in choices.items():
-        condition = selector.between(low, high)
-        picked = F.when(condition, value) if picked is None else picked.when(condition, value)
-    return picked
+QUOTED_DASH = "'-'"
+
+# How an event becomes a request; ``k`` is the number in the event's properties.
+K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
+GIVEN = {
+    "bucketowner": "'owner'",
+    "bucket_name": "'exports'",
+    "requestdatetime": "concat(date_format(ts, 'dd/MMM/yyyy:HH:mm:ss'), ' +0000')",
+    "remoteip": "concat_ws('.', 10, user_id % 32, user_id % 7, user_id % 256)",
+    "requestid": "concat('R', event_id)",
+    "operation": """CASE WHEN event_type IN ('view', 'signup') THEN 'REST.GET.OBJECT'
+        WHEN event_type = 'click' THEN 'REST.HEAD.OBJECT'
+        WHEN event_type = 'purchase' THEN 'REST.PUT.OBJECT'
+        ELSE element_at(array('REST.POST.OBJECT', 'BATCH.DELETE.OBJECT', 'LEGACYOP'), k % 3 + 1) END""",
+    "key": """CASE WHEN event_id % 20 <= 7 THEN concat('ISO3/N', user_id % 25, '/f', k % 4, '/lines/hot_n', k % 5, '_',
+            element_at(array('geojson', 'shp', 'gpkg'), k % 3 + 1), '.zip')
+        WHEN event_id % 20 <= 12 THEN concat('TM/project_', k, '/roads/p_', k % 7, '_fgb.zip')
+        WHEN event_id % 20 <= 14 THEN concat('default/u', k, '/x.zip')
+        WHEN event_id % 20 = 15 THEN 'FAVICON.ICO'
+        WHEN event_id % 20 = 16 THEN 'log2024/a.txt'
+        WHEN event_id % 20 = 17 THEN '-'
+        WHEN event_id % 20 = 18 THEN concat('TM/project_', k, '/meta.json')
+        ELSE 'TEST-OBJECT' END""",
+    "request_uri": "'\"GET /x HTTP/1.1\"'",
+    "httpstatus": "CASE WHEN event_type = 'error' THEN '403' ELSE '200' END",
+    "bytessent": "CASE WHEN event_type IN ('view', 'signup') THEN CAST(round(value * 1000) AS BIGINT) END",
+    "objectsize": "CASE WHEN event_type IN ('view', 'purchase') THEN CAST(round(value * 2000) AS BIGINT) END",
+    "referrer": """CASE event_id % 4 WHEN 0 THEN '-' WHEN 1 THEN concat('"', url, '"')
+        WHEN 2 THEN '"https://maps.example.com:8443/v"' ELSE '"www.example.com/x"' END""",
+    "useragent": "'\"agent/1.0 (x; y)\"'",
+}
 
 
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One logged request per event."""
-    events, pages = table(spark, sf_dir, "events"), table(spark, sf_dir, "pages").select("page_id", "url")
-    e, event_id = events, F.col("event_id")
-    k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
-    n_pages = pages.agg(F.count(F.lit(1))).scalar()
-    joined = e.withColumn("k", k).withColumn("page_id", event_id % n_pages).join(pages, "page_id", "left")
-
-    k, user, kind = F.col("k"), F.col("user_id"), F.col("event_type")
-    operation = (
-        F.when(kind.isin("view", "signup"), "REST.GET.OBJECT")
-        .when(kind == "click", "REST.HEAD.OBJECT")
-        .when(kind == "purchase", "REST.PUT.OBJECT")
-        .when(k % 3 == 0, "REST.POST.OBJECT")
-        .when(k % 3 == 1, "BATCH.DELETE.OBJECT")
-        .otherwise("LEGACYOP")
-    )
-    shape = F.when(k % 3 == 0, "geojson").when(k % 3 == 1, "shp").otherwise("gpkg")
-    key = _pick(
-        event_id % 20,
-        {
-            (0, 7): F.concat(F.lit("ISO3/N"), user % 25, F.lit("/f"), k % 4, F.lit("/lines/hot_n"), k % 5, F.lit("_"), shape, F.lit(".zip")),
-            (8, 12): F.concat(F.lit("TM/project_"), k, F.lit("/roads/p_"), k % 7, F.lit("_fgb.zip")),
-            (13, 14): F.concat(F.lit("default/u"), k, F.lit("/x.zip")),
-            (15, 15): F.lit("FAVICON.ICO"),
-            (16, 16): F.lit("log2024/a.txt"),
-            (17, 17): F.lit("-"),
-            (18, 18): F.concat(F.lit("TM/project_"), k, F.lit("/meta.json")),
-            (19, 19): F.lit("TEST-OBJECT"),
-        },
-    )
-    referrer = _pick(
-        event_id % 4,
-        {
-            (0, 0): F.lit("-"),
-            (1, 1): F.concat(F.lit('"'), F.col("url"), F.lit('"')),
-            (2, 2): F.lit('"https://maps.example.com:8443/v"'),
-            (3, 3): F.lit('"www.example.com/x"'),
-        },
-    )
-
-    def size(kinds: list[str], factor: int) -> Column:
-        return F.when(kind.isin(kinds), F.round(F.col("value") * factor).cast("bigint"))
-
-    given = {
-        "bucketowner": F.lit("owner"),
-        "bucket_name": F.lit("exports"),
-        "requestdatetime": F.concat(F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(" +0000")),
-        "remoteip": F.concat(F.lit("10."), user % 32, F.lit("."), user % 7, F.lit("."), user % 256),
-        "requestid": F.concat(F.lit("R"), event_id),
-        "operation": operation,
-        "key": key,
-        "request_uri": F.lit('"GET /x HTTP/1.1"'),
-        "httpstatus": F.when(kind == "error", "403").otherwise("200"),
-        "bytessent": size(["view", "signup"], 1000),
-        "objectsize": size(["view", "purchase"], 2000),
-        "referrer": referrer,
-        "useragent": F.lit('"agent/1.0 (x; y)"'),
-    }
-    day = F.date_format("ts", S.DAY_FORMAT).alias(S.PARTITION_COLUMN)
-    return joined.select(*(given.get(n, F.lit("-")).alias(n) for n, _ in S.ACCESS_LOG_COLUMNS), day)
+    pages = table(spark, sf_dir, "pages")
+    # A generated column, which filters on the key do not copy the regular expression into.
+    events = table(spark, sf_dir, "events").select("*", F.explode(F.array(F.expr(K))).alias("k"))
+    numbered = events.withColumn("page_id", F.col("event_id") % pages.agg(F.count(F.lit(1))).scalar())
+    joined = numbered.join(pages.select("page_id", "url"), "page_id", "left")
+    day = f"date_format(ts, '{S.DAY_FORMAT}') AS `{S.PARTITION_COLUMN}`"
+    return joined.selectExpr(*(f"{GIVEN.get(n, QUOTED_DASH)} AS {n}" for n, _ in S.ACCESS_LOG_COLUMNS), day)
 
 
 def object_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
