@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bucketlens import schema as S
 from bucketlens.functions import requests as R
@@ -30,6 +31,18 @@ ENTRIES_PER_PART = 100_000
 
 VALUE_METRICS = ["locations", "referrers", "meta_downloads"]
 
+# Long form of the daily metrics; ``folder`` is NULL for the whole service.
+DAILY_ROWS_SCHEMA = T.StructType(
+    [
+        T.StructField("date", T.DateType()),
+        T.StructField("scope", T.StringType()),
+        T.StructField("folder", T.StringType()),
+        T.StructField("metric", T.StringType()),
+        T.StructField("sub_key", T.StringType()),
+        T.StructField("value", T.LongType()),
+    ]
+)
+
 
 def count_days(prepared: DataFrame) -> DataFrame:
     """Requests per day and distinct value: counts of disjoint logs may be added up."""
@@ -156,7 +169,7 @@ def daily_job(
     """Compute the daily metrics of ``logs`` and store them by date; gives back the store."""
     rows = daily_metrics(prepare(filter_object_requests(logs), lenient=lenient), geo)
     upsert_daily_metrics(rows, out)
-    return read_daily_metrics(spark, out, rows)
+    return read_daily_metrics(spark, out, DAILY_ROWS_SCHEMA)
 
 
 def run_daily_job(spark: SparkSession, base: str, start: str, end: str, geo: GeoTable, out: str) -> DataFrame:

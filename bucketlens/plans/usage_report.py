@@ -7,12 +7,22 @@ from bucketlens import schema as S
 from bucketlens.functions import requests as R
 from bucketlens.functions.text import grouped_digits, size_text
 from bucketlens.operators.geo import GeoTable
-from bucketlens.operators.metrics import ADDRESS, KEY, REFERRER, request_time_span, summarize
+from bucketlens.operators.metrics import ADDRESS, KEY, REFERRER, SUMMARY_METRICS, request_time_span
 from bucketlens.operators.periods import usage_trend
 from bucketlens.operators.prepare import prepare
 from bucketlens.operators.ranking import rank_within, rankings_differ
 from bucketlens.operators.selection import logs_in_period
-from bucketlens.plans.sections import FOLDER, Entry, address_entries, count_for_sections, key_entries, section_entries
+from bucketlens.plans.sections import (
+    FOLDER,
+    FOLDER_SCOPE,
+    WHOLE_SCOPE,
+    Entry,
+    address_entries,
+    count_for_sections,
+    key_entries,
+    section_entries,
+)
+from bucketlens.session import staged
 from bucketlens.sinks.extracts import export_csv_gz, export_parquet
 from bucketlens.sinks.metrics import period_metrics, write_period_metrics
 from bucketlens.sources.log_text import scan_access_log
@@ -29,7 +39,7 @@ def section_counts(prepared: DataFrame, geo: GeoTable, interactions: bool = Fals
     dimension, with ``_by_interaction`` for counts over interactions.
     """
     folder = F.col(FOLDER)
-    ranked = has_section = R.has_section(folder)
+    has_section = R.has_section(folder)
     with_components = has_section & R.has_components(folder)
 
     def ranked_entries(dimension: str, value: Column, condition: Column | None = None) -> list[Entry]:
@@ -46,14 +56,15 @@ def section_counts(prepared: DataFrame, geo: GeoTable, interactions: bool = Fals
         }
 
     key = F.col(KEY)
-    whole, by_folder = dimensions(None), dimensions(ranked)
+    whole, by_folder = dimensions(None), dimensions(has_section)
     by_folder[KEY] += [
         *ranked_entries("project", R.project(key), with_components),
         *ranked_entries("feature", R.feature(key), with_components),
         *ranked_entries("fileformat", R.file_format(key), with_components),
     ]
     counts = section_entries(count_for_sections(prepared, []), geo, [], whole, by_folder)
-    return counts.where(F.col(FOLDER).isNull() | has_section).select(
+    shown = (F.col("scope") != FOLDER_SCOPE) | has_section
+    return counts.where(shown).select(
         "scope", F.coalesce(FOLDER, F.lit(OVERALL)).alias("section"), "metric", "sub_key", "n"
     )
 
@@ -80,21 +91,26 @@ def _differs(top: DataFrame) -> DataFrame:
     return rankings_differ(ranked.where("NOT by_interaction"), ranked.where("by_interaction"), by)
 
 
-def report_rows(prepared: DataFrame, geo: GeoTable, interactions: bool = False) -> DataFrame:
+def report_rows(top: DataFrame, interactions: bool = False) -> DataFrame:
     """The report as rows: scope, section, metric, sub_key, value (text).
 
     Rankings by interaction are shown on request, and then only where they differ
     from those by download.
     """
-    top = top_of_sections(section_counts(prepared, geo, interactions))
+    by_interaction = F.col("metric").endswith("_by_interaction") & F.col("sub_key").isNotNull()
+    shown = top.where(~by_interaction)
     if interactions:
         differing = _differs(top).where("differs").select(
             "scope", "section", F.concat("dimension", F.lit("_by_interaction")).alias("metric")
         )
-        by_interaction = F.col("metric").endswith("_by_interaction")
-        shown = top.where(by_interaction).join(differing, ["scope", "section", "metric"], "left_semi")
-        top = top.where(~by_interaction).unionByName(shown)
-    return top.select("scope", "section", _metric_name(), "sub_key", _value_text())
+        shown = shown.unionByName(top.where(by_interaction).join(differing, ["scope", "section", "metric"], "left_semi"))
+    return shown.select("scope", "section", _metric_name(), "sub_key", _value_text())
+
+
+def section_summaries(top: DataFrame) -> DataFrame:
+    """The eight summary metrics as columns, one row per section."""
+    metrics = [F.max(F.when(F.col("metric") == m, F.col("n"))).alias(m) for m in SUMMARY_METRICS]
+    return top.where(F.col("sub_key").isNull()).groupBy("scope", "section").agg(*metrics)
 
 
 def _metric_name() -> Column:
@@ -143,7 +159,8 @@ def usage_report(
     """Report on the log directories of a window.
 
     Writes the extract (parquet, gzipped CSV) and the window's overall metrics
-    under ``results``; later steps read the written extract instead of the logs.
+    under ``results``. Everything after the extract reads the extract, and it is read
+    once for all metrics, rankings and sentences.
     """
     extract = logs_in_period(scan_access_log(spark, base, start, end), start, end, select_all)
     path = export_parquet(extract, f"{results}/extracts", start, end)
@@ -151,18 +168,15 @@ def usage_report(
     export_csv_gz(logs, f"{results}/extracts", start, end)
 
     prepared = prepare(logs)
-    overall = summarize(prepared)
-    current = period_metrics(overall, start, end)
+    # A few rows per section, read by all that follows.
+    top = staged(top_of_sections(section_counts(prepared, geo, interactions)), "report-sections")
+    summaries = section_summaries(top)
+    current = period_metrics(summaries.where(F.col("scope") == WHOLE_SCOPE), start, end)
     history_path = f"{results}/history"
-    history = load_metrics_history(spark, history_path)
     write_period_metrics(current, history_path)
-    sections = summarize(prepared, [FOLDER]).where(R.has_section(F.col(FOLDER)))
-    summaries = overall.withColumn("section", F.lit(OVERALL)).unionByName(
-        sections.withColumnRenamed(FOLDER, "section")
-    )
     return {
-        "rows": report_rows(prepared, geo, interactions),
+        "rows": report_rows(top, interactions),
         "sentences": summary_sentences(summaries),
-        "trend": usage_trend(current, history),
+        "trend": usage_trend(current, load_metrics_history(spark, history_path)),
         "span": request_time_span(prepared),
     }

@@ -2,9 +2,11 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bucketlens import schema as S
 from bucketlens.sinks.extracts import replace_partitions
+from bucketlens.sources.results import read_if_stored
 
 
 def upsert_daily_metrics(rows: DataFrame, path: str) -> None:
@@ -12,8 +14,9 @@ def upsert_daily_metrics(rows: DataFrame, path: str) -> None:
     replace_partitions(rows, path, ["date"])
 
 
-def read_daily_metrics(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+def read_daily_metrics(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Stored daily metrics in the given columns; no rows where none are stored."""
+    return read_if_stored(spark, path, schema).select(*schema.names)
 
 
 def as_json_documents(documents: DataFrame) -> DataFrame:

@@ -42,9 +42,14 @@ def load_metrics_history(spark: SparkSession, path: str) -> DataFrame:
     ``path`` holds the JSON documents the metrics sink writes. Metrics a document
     lacks are NULL.
     """
+    return read_if_stored(spark, path, HISTORY_SCHEMA, "json")
+
+
+def read_if_stored(spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet") -> DataFrame:
+    """A stored dataset, or an empty frame where nothing is stored yet."""
     try:
-        return spark.read.schema(HISTORY_SCHEMA).json(path)
+        return spark.read.schema(schema).format(file_format).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], HISTORY_SCHEMA)
+        return spark.createDataFrame([], schema)

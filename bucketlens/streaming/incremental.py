@@ -6,37 +6,26 @@ touched are then recomputed from the stored counts, which are far fewer than the
 requests. Late files are no special case: they touch an older day.
 """
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bucketlens import schema as S
 from bucketlens.functions import requests as R
 from bucketlens.operators.geo import GeoTable
-from bucketlens.operators.metrics import MEASURES
+from bucketlens.operators.metrics import MEASURES, set_columns
 from bucketlens.operators.prepare import prepare
 from bucketlens.operators.selection import filter_object_requests
-from bucketlens.plans.daily_job import NEEDED_COLUMNS, count_days, daily_metrics_from_counts
+from bucketlens.plans.daily_job import DAILY_ROWS_SCHEMA, NEEDED_COLUMNS, count_days, daily_metrics_from_counts
 from bucketlens.plans.sections import grouping_sets
-from bucketlens.operators.metrics import set_columns
 from bucketlens.sinks.extracts import replace_partitions
-from bucketlens.sinks.metrics import upsert_daily_metrics
+from bucketlens.sinks.metrics import read_daily_metrics, upsert_daily_metrics
 from bucketlens.sources.log_text import DAY_IN_PATH, parse_access_log
 
 # Days are directories base/yyyy/MM/dd.
 ALL_DAYS = "[0-9][0-9][0-9][0-9]/[0-1][0-9]/[0-3][0-9]"
 
-METRIC_ROWS_SCHEMA = T.StructType(
-    [
-        T.StructField("scope", T.StringType()),
-        T.StructField("folder", T.StringType()),
-        T.StructField("metric", T.StringType()),
-        T.StructField("sub_key", T.StringType()),
-        T.StructField("value", T.LongType()),
-        T.StructField("date", T.DateType()),
-    ]
-)
-
 
 def stream_log_lines(spark: SparkSession, base: str, max_files: int | None = None) -> DataFrame:
     """New lines of the day directories, with the day read off the path."""
@@ -48,42 +37,44 @@ def stream_log_lines(spark: SparkSession, base: str, max_files: int | None = Non
     return lines.select("value", day.alias(S.PARTITION_COLUMN))
 
 
+def process_batch(lines: DataFrame, batch_id: int, geo: GeoTable, state: str, lenient: bool = False) -> None:
+    """Store the counts of one batch, then recompute the days it touched.
+
+    Partitions are replaced, never appended to, so a batch that runs again after a
+    failure leaves the same result.
+    """
+    counts_path = f"{state}/counts"
+    logs = parse_access_log(lines, NEEDED_COLUMNS)
+    counted = count_days(prepare(filter_object_requests(logs), lenient=lenient))
+    dated = counted.withColumns({"date": R.partition_day(F.col("day")), "batch_id": F.lit(batch_id).cast("bigint")})
+    replace_partitions(dated, counts_path, ["date", "batch_id"])
+
+    stored = lines.sparkSession.read.schema(dated.schema).parquet(counts_path)
+    # One value per day directory the batch read from.
+    of_batch = stored.where(F.col("batch_id") == batch_id)
+    touched = [row.date for row in of_batch.select("date").distinct().collect()]
+    merged = (
+        stored.where(F.col("date").isin(touched))
+        .groupBy(*set_columns(grouping_sets(["day"])), "grouping")
+        .agg(*(F.sum(m).alias(m) for m in MEASURES))
+    )
+    upsert_daily_metrics(daily_metrics_from_counts(merged, geo), f"{state}/metrics")
+
+
 def run_incremental(
     spark: SparkSession, base: str, geo: GeoTable, state: str, max_files: int | None = None, lenient: bool = False
 ) -> DataFrame:
     """Process the files not seen before and stop; gives back the stored daily metrics.
 
     ``state`` holds the stream's checkpoint, the counts of every batch and the
-    metrics. Partitions are replaced, never appended to, so a batch that runs
-    again after a failure leaves the same result.
+    metrics.
     """
-    counts_path, metrics_path = f"{state}/counts", f"{state}/metrics"
-    key_columns = set_columns(grouping_sets(["day"]))
-
-    def process(batch: DataFrame, batch_id: int) -> None:
-        logs = parse_access_log(batch, NEEDED_COLUMNS)
-        counted = count_days(prepare(filter_object_requests(logs), lenient=lenient))
-        dated = counted.withColumns({"date": R.partition_day(F.col("day")), "batch_id": F.lit(batch_id)})
-        replace_partitions(dated, counts_path, ["date", "batch_id"])
-
-        stored = batch.sparkSession.read.schema(dated.schema).parquet(counts_path)
-        # One row per day directory the batch read from.
-        touched = [row.date for row in stored.where(F.col("batch_id") == batch_id).select("date").distinct().collect()]
-        if not touched:
-            return
-        merged = (
-            stored.where(F.col("date").isin(touched))
-            .groupBy(*key_columns, "grouping")
-            .agg(*(F.sum(m).alias(m) for m in MEASURES))
-        )
-        upsert_daily_metrics(daily_metrics_from_counts(merged, geo), metrics_path)
-
     query = (
         stream_log_lines(spark, base, max_files)
-        .writeStream.foreachBatch(process)
+        .writeStream.foreachBatch(partial(process_batch, geo=geo, state=state, lenient=lenient))
         .option("checkpointLocation", f"{state}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(METRIC_ROWS_SCHEMA).parquet(metrics_path)
+    return read_daily_metrics(spark, f"{state}/metrics", DAILY_ROWS_SCHEMA)

@@ -335,7 +335,7 @@ def upsert_daily_metrics(spark, sf_dir):
     zero = F.lit(0).cast("bigint")
     W.upsert_daily_metrics(rows.withColumns({"downloads_count": zero, "unique_users": zero}), path)
     W.upsert_daily_metrics(rows.where(F.col(DAY).between(WINDOW_START, WINDOW_END)), path)
-    return _dates_as_text(W.read_daily_metrics(spark, path, rows))
+    return _dates_as_text(W.read_daily_metrics(spark, path, rows.schema))
 
 
 def write_period_metrics(spark, sf_dir):
@@ -346,7 +346,12 @@ def write_period_metrics(spark, sf_dir):
 
 
 def report_rows(spark, sf_dir):
-    return U.report_rows(prepared(spark, sf_dir), geo(spark, sf_dir))
+    return U.report_rows(U.top_of_sections(U.section_counts(prepared(spark, sf_dir), geo(spark, sf_dir))))
+
+
+def report_rows_with_interactions(spark, sf_dir):
+    counts = U.section_counts(prepared(spark, sf_dir), geo(spark, sf_dir), interactions=True)
+    return U.report_rows(staged(U.top_of_sections(counts), "report-sections"), interactions=True)
 
 
 def summary_sentences(spark, sf_dir):
@@ -456,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "upsert_daily_metrics": upsert_daily_metrics,
     "write_period_metrics": write_period_metrics,
     "report_rows": report_rows,
+    "report_rows_with_interactions": report_rows_with_interactions,
     "summary_sentences": summary_sentences,
     "yearly_extract": yearly_extract,
     "incremental_daily_metrics": incremental_daily_metrics,
