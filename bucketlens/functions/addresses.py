@@ -31,28 +31,25 @@ def with_ipv6_hex(df: DataFrame, ip: Column, name: str) -> DataFrame:
     Built up in steps, so that each intermediate value is worked out once.
     """
     dotted_end = r"^(.*:)([0-9.]+\.[0-9.]+)$"
-    text, last, halves, head, tail = (F.col(c) for c in ("_text", "_last", "_halves", "_head", "_tail"))
-
-    def groups(i: int) -> Column:
-        present = F.filter(F.split(F.coalesce(F.get(halves, F.lit(i)), F.lit("")), ":"), lambda g: g != "")
-        return F.transform(present, lambda g: F.lpad(g, 4, "0"))
-
+    text, last, padded = F.col("_text"), F.col("_last"), F.col("_padded")
     as_groups = F.concat(
         F.regexp_extract(text, dotted_end, 1), F.substring(last, 1, 4), F.lit(":"), F.substring(last, 5, 4)
     )
-    split = (
+    # Every group to four digits: three zeros in front, then its last four.
+    four_digits = F.regexp_replace(F.regexp_replace(text, "([0-9a-f]+)", "000$1"), "[0-9a-f]*([0-9a-f]{4})", "$1")
+    steps = (
         df.withColumn("_text", F.lower(F.when(F.instr(ip, ":") > 0, ip)))
-        .withColumn("_last", ipv4_hex(F.regexp_extract(text, dotted_end, 2)))
+        .withColumn("_last", F.when(F.contains(text, F.lit(".")), ipv4_hex(F.regexp_extract(text, dotted_end, 2))))
         .withColumn("_text", F.when(F.contains(text, F.lit(".")), as_groups).otherwise(text))
-        .withColumn("_halves", F.split(text, "::", -1))
-        .withColumns({"_head": groups(0), "_tail": groups(1)})
-    )
-    missing = F.lit(8) - F.size(head) - F.size(tail)
-    complete = F.when(F.size(halves) == 2, missing >= 1).otherwise(missing == 0)
-    digits = F.concat(F.array_join(head, ""), F.repeat(F.lit("0000"), missing), F.array_join(tail, ""))
-    return split.withColumn(name, F.when(text.rlike(_IPV6) & complete, digits)).drop(
-        "_text", "_last", "_halves", "_head", "_tail"
+        .withColumn("_padded", F.when(text.rlike(_IPV6), four_digits))
     )
+    gap = F.instr(padded, "::")
+    head = F.translate(F.substring_index(padded, "::", 1), ":", "")
+    tail = F.when(gap > 0, F.translate(F.substring_index(padded, "::", -1), ":", "")).otherwise("")
+    missing = F.lit(IPV6_DIGITS) - F.length(head) - F.length(tail)
+    complete = F.when(gap > 0, missing >= 4).otherwise(missing == 0)
+    digits = F.when(complete, F.concat(head, F.repeat(F.lit("0"), missing), tail))
+    return steps.withColumn(name, digits).drop("_text", "_last", "_padded")
 
 
 def with_address_text(df: DataFrame, ip: Column, name: str) -> DataFrame:

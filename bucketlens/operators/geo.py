@@ -7,28 +7,41 @@ from pyspark.sql import functions as F
 
 from bucketlens import schema as S
 from bucketlens.functions import addresses as A
+from bucketlens.session import staged
 
-# Beyond this many prefixes (some 100 MB in memory) the lookup table is joined
-# by a shuffle instead of being sent to every executor.
-BROADCAST_PREFIXES = 1_000_000
+# Beyond this many rows (some 100 MB in memory) a lookup table is joined by a
+# shuffle instead of being sent to every executor.
+BROADCAST_ROWS = 1_000_000
 
 # An address is hot when it holds more than 1 / HOT_SHARE of all rows, so there
 # are never more than HOT_SHARE hot addresses.
 HOT_SHARE = 1_000
 
+# Country codes are numbered; the number fills the low bits of a match.
+COUNTRY_BITS = 16
+
 
 @dataclass(frozen=True)
 class GeoTable:
     """Country by address prefix.
 
-    ``prefixes`` has one row per distinct prefix: ``prefix``, ``width`` (addresses
-    in the range it came from) and ``iso_code``.
+    ``prefixes`` has one row per distinct prefix: ``prefix`` and ``match``, a number
+    that orders ranges from narrow to wide and ends in the number of the country.
+    ``countries`` lists the codes by number, ``lengths`` the lengths of the
+    prefixes of each address family.
     """
 
     prefixes: DataFrame
+    countries: list[str]
     lengths: dict[str, list[int]]
     broadcastable: bool
 
+    def country(self, match: Column) -> Column:
+        """Code of the country a match ends in; none, or no match, is ``N/A``."""
+        codes = F.array(*(F.lit(c or S.NO_COUNTRY) for c in self.countries))
+        number = match.bitwiseAND(F.lit(2**COUNTRY_BITS - 1)).cast("int")
+        return F.coalesce(F.get(codes, number), F.lit(S.NO_COUNTRY))
+
 
 def geo_table(ranges: DataFrame | None = None, networks: DataFrame | None = None) -> GeoTable:
     """Lookup table from IPv4 ranges and / or networks in CIDR notation.
@@ -45,15 +58,18 @@ def geo_table(ranges: DataFrame | None = None, networks: DataFrame | None = None
     pieces = parts[0]
     for part in parts[1:]:
         pieces = pieces.unionByName(part)
-    narrowest = F.struct("width", F.coalesce("iso_code", F.lit("")))
-    prefixes = pieces.groupBy("prefix").agg(
-        F.min("width").alias("width"), F.min_by("iso_code", narrowest).alias("iso_code")
-    )
-    # At most 42 rows: one per family and prefix length.
-    sizes = prefixes.groupBy(F.substring("prefix", 1, 1).alias("family"), F.length("prefix").alias("length")).count()
-    rows = sizes.collect()
-    lengths = {f: sorted(r["length"] for r in rows if r["family"] == f) for f in ("4", "6")}
-    return GeoTable(prefixes, lengths, sum(r["count"] for r in rows) <= BROADCAST_PREFIXES)
+    code = F.coalesce("iso_code", F.lit(""))
+    # Sets of country codes and of prefix lengths, and a bound on the table's size.
+    kind = F.struct(F.substring("prefix", 1, 1), F.length("prefix"))
+    found = pieces.agg(F.collect_set(code), F.collect_set(kind), F.count(F.lit(1))).first()
+    countries = sorted(found[0])
+    if len(countries) > 2**COUNTRY_BITS:
+        raise ValueError(f"more than {2**COUNTRY_BITS} country codes: {len(countries)}")
+    number = F.array_position(F.array(*(F.lit(c) for c in countries)).cast("array<string>"), code) - 1
+    match = F.shiftleft("width", COUNTRY_BITS) + number
+    prefixes = pieces.select("prefix", match.alias("match")).groupBy("prefix").agg(F.min("match").alias("match"))
+    lengths = {family: sorted(length for f, length in found[1] if f == family) for family in ("4", "6")}
+    return GeoTable(prefixes, countries, lengths, found[2] <= BROADCAST_ROWS)
 
 
 def _range_prefixes(ranges: DataFrame) -> DataFrame:
@@ -80,7 +96,7 @@ def _range_prefixes(ranges: DataFrame) -> DataFrame:
     stop = F.col("stop")
     covered = levels.select(
         "iso_code",
-        (stop - start).cast("double").alias("width"),
+        (stop - start).alias("width"),
         (F.lit(A.IPV4_DIGITS) - level).alias("digits"),
         first(level).alias("low"),
         shift("right", stop, level).alias("high"),
@@ -129,7 +145,8 @@ def _ipv6_prefixes(networks: DataFrame) -> DataFrame:
         .select(
             F.concat(F.lit("6"), F.substring("_hex", F.lit(1), whole)).alias("_prefix"),
             F.explode(endings).alias("_ending"),
-            F.pow(F.lit(2.0), F.lit(128) - bits).alias("width"),
+            # IPv6 networks meet only their like: the number of open bits orders them.
+            (F.lit(128) - bits).cast("bigint").alias("width"),
             "iso_code",
         )
         .select(F.concat("_prefix", "_ending").alias("prefix"), "width", "iso_code")
@@ -153,31 +170,35 @@ def resolve_addresses(keyed: DataFrame, geo: GeoTable, keys: list[str], address:
     cuts = F.coalesce(prefixes_of("4"), prefixes_of("6"), F.lit(None).cast("array<string>"))
     tried = A.with_address_text(keyed, address, "_address").select(*keyed.columns, F.explode_outer(cuts).alias("prefix"))
     prefixes = F.broadcast(geo.prefixes) if geo.broadcastable else geo.prefixes
-    found = tried.join(prefixes, "prefix", "left")
-    # Prefixes that met no range have a NULL rank, and min_by passes over them.
-    rank = F.when(F.col("width").isNotNull(), F.struct("width", F.coalesce("iso_code", F.lit(""))))
-    country = F.coalesce(F.min_by("iso_code", rank), F.lit(S.NO_COUNTRY)).alias("country")
-    return found.groupBy(*keys).agg(*(F.any_value(c).alias(c) for c in rest), country)
+    met = tried.join(prefixes, "prefix", "left").groupBy(*keys)
+    narrowest = met.agg(*(F.any_value(c).alias(c) for c in rest), F.min("match").alias("match"))
+    return narrowest.select(*keyed.columns, geo.country(F.col("match")).alias("country"))
 
 
-def with_country(requests: DataFrame, geo: GeoTable, ip: str = "remoteip") -> DataFrame:
+def with_country(requests: DataFrame, geo: GeoTable, ip: str = "remoteip", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add ``country`` to every request.
 
-    Addresses are counted, each distinct one is looked up once, and the result
-    is joined back. Rows of hot addresses meet a broadcast copy of at most
-    ``HOT_SHARE`` rows and are then spread evenly, like rows without an address,
-    so that one busy address does not fill one task of the join.
+    Addresses are counted and each distinct one is looked up once; that table is
+    written to the shared folder. If it is small it is sent to the requests, which
+    then stay where they are. Otherwise it is joined by a shuffle, except for hot
+    addresses: their rows meet a broadcast copy of at most ``HOT_SHARE`` rows and
+    are spread evenly, like rows without an address, so that one busy address does
+    not fill one task.
     """
     counted = requests.where(F.col(ip).isNotNull()).groupBy(F.col(ip).alias("_ip")).agg(F.count(F.lit(1)).alias("_n"))
-    found = resolve_addresses(counted, geo, ["_ip"], F.col("_ip"))
-    total = found.agg(F.sum("_n")).scalar()
-    hot = found.where(F.col("_n") * HOT_SHARE > total).select(
-        F.col("_ip").alias("_hot_ip"), F.col("country").alias("_hot_country")
+    found = staged(resolve_addresses(counted, geo, ["_ip"], F.col("_ip")).withColumnRenamed("country", "_country"), "addresses")
+    size = found.agg(F.count(F.lit(1)).alias("addresses"), F.sum("_n").alias("requests")).first()
+    if size.addresses <= broadcast_rows:
+        joined = requests.join(F.broadcast(found), F.col(ip) == F.col("_ip"), "left")
+        return joined.select(*requests.columns, F.coalesce("_country", F.lit(S.NO_COUNTRY)).alias("country"))
+    hot = found.where(F.col("_n") > size.requests // HOT_SHARE).select(
+        F.col("_ip").alias("_hot_ip"), F.col("_country").alias("_hot_country")
     )
     spread = F.concat(F.lit("hot "), F.pmod(F.xxhash64(*requests.columns), F.lit(HOT_SHARE)).cast("string"))
+    own_place = F.col("_hot_ip").isNotNull() | F.col(ip).isNull()
     marked = requests.join(F.broadcast(hot), F.col(ip) == F.col("_hot_ip"), "left").withColumn(
-        "_join_ip", F.when(F.col("_hot_ip").isNotNull() | F.col(ip).isNull(), spread).otherwise(F.col(ip))
+        "_join_ip", F.when(own_place, spread).otherwise(F.col(ip))
     )
-    joined = marked.join(found.select("_ip", "country"), F.col("_join_ip") == F.col("_ip"), "left")
-    country = F.coalesce("_hot_country", "country", F.lit(S.NO_COUNTRY)).alias("country")
+    joined = marked.join(found.hint("shuffle_merge"), F.col("_join_ip") == F.col("_ip"), "left")
+    country = F.coalesce("_hot_country", "_country", F.lit(S.NO_COUNTRY)).alias("country")
     return joined.select(*requests.columns, country)

@@ -13,12 +13,13 @@ from bucketlens.operators.selection import filter_object_requests
 from bucketlens.plans.sections import (
     FOLDER,
     FOLDER_SCOPE,
+    KEY_ENTRIES,
+    USERS,
     WHOLE_SCOPE,
     Entry,
-    address_entries,
     count_for_sections,
-    key_entries,
-    section_entries,
+    locate_counts,
+    sum_entries,
 )
 from bucketlens.sinks.metrics import read_daily_metrics, upsert_daily_metrics
 from bucketlens.sources.log_text import scan_access_log
@@ -51,16 +52,12 @@ def count_days(prepared: DataFrame) -> DataFrame:
 
 def daily_metrics_from_counts(counted: DataFrame, geo: GeoTable) -> DataFrame:
     """Long form of the daily metrics: date, scope, folder, metric, sub_key, value."""
-    locations = Entry("locations", F.col("requests"), F.col("country"))
-    referrers = Entry("referrers", F.col("requests"), F.col(REFERRER))
-    files = Entry("meta_downloads", F.col("downloads"), F.col(KEY))
-    folder = {
-        KEY: key_entries(),
-        ADDRESS: [*address_entries(by_download=False), locations],
-        REFERRER: [referrers],
-    }
-    whole = {**folder, KEY: [*folder[KEY], files]}
-    entries = section_entries(counted, geo, ["day"], whole, folder)
+    locations = Entry("locations", "requests", "country")
+    referrers = Entry("referrers", "requests", REFERRER)
+    files = Entry("meta_downloads", "downloads", KEY)
+    folder = {KEY: KEY_ENTRIES, ADDRESS: [USERS, locations], REFERRER: [referrers]}
+    whole = {**folder, KEY: [*KEY_ENTRIES, files]}
+    entries = sum_entries(locate_counts(counted, geo, ["day"]), ["day"], whole, folder)
     return entries.select(
         R.partition_day(F.col("day")).alias("date"),
         "scope",

@@ -7,7 +7,7 @@ entries that are summed up (a second shuffle, of what the counting left over).
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bucketlens.operators.geo import GeoTable, resolve_addresses
@@ -19,12 +19,36 @@ WHOLE_SCOPE, FOLDER_SCOPE = "whole", "folder"
 
 @dataclass(frozen=True)
 class Entry:
-    """``n`` is added to a metric; entries with a ``sub_key`` count one of many values."""
+    """``n`` is added to a metric; entries with a ``sub_key`` count one of many values.
+
+    ``n``, ``sub_key`` and ``when`` are SQL expressions over a row of counts.
+    """
 
     metric: str
-    n: Column
-    sub_key: Column | None = None
-    when: Column | None = None
+    n: str
+    sub_key: str | None = None
+    when: str | None = None
+
+    def struct(self, scope: str) -> str:
+        n = self.n if self.when is None else f"IF({self.when}, {self.n}, NULL)"
+        return (
+            f"named_struct('scope', '{scope}', 'metric', '{self.metric}', "
+            f"'sub_key', CAST({self.sub_key or 'NULL'} AS STRING), 'is_value', {self.sub_key is not None}, "
+            f"'n', CAST({n} AS BIGINT))"
+        )
+
+
+# Entries of the plain metrics, per kind of row.
+KEY_ENTRIES = [
+    Entry("interactions_count", "interactions"),
+    Entry("downloads_count", "downloads"),
+    Entry("unique_downloads", f"IF({KEY} IS NOT NULL AND downloads > 0, 1, 0)"),
+    Entry("uploads_count", f"IF({KEY} IS NOT NULL AND uploads > 0, 1, 0)"),
+    Entry("download_size", "download_bytes"),
+    Entry("upload_size", "upload_bytes"),
+]
+USERS = Entry("unique_users", f"IF({ADDRESS} IS NOT NULL, 1, 0)")
+USERS_BY_DOWNLOAD = Entry("unique_users_by_download", f"IF({ADDRESS} IS NOT NULL AND downloads > 0, 1, 0)")
 
 
 def grouping_sets(outer: list[str]) -> list[list[str]]:
@@ -36,32 +60,19 @@ def count_for_sections(prepared: DataFrame, outer: list[str]) -> DataFrame:
     return count_values(prepared, grouping_sets(outer))
 
 
-def key_entries() -> list[Entry]:
-    seen = F.col(KEY).isNotNull()
-    return [
-        Entry("interactions_count", F.col("interactions")),
-        Entry("downloads_count", F.col("downloads")),
-        Entry("unique_downloads", (seen & (F.col("downloads") > 0)).cast("bigint")),
-        Entry("uploads_count", (seen & (F.col("uploads") > 0)).cast("bigint")),
-        Entry("download_size", F.col("download_bytes")),
-        Entry("upload_size", F.col("upload_bytes")),
-    ]
-
-
-def address_entries(by_download: bool) -> list[Entry]:
-    seen = F.col(ADDRESS).isNotNull()
-    users = [Entry("unique_users", seen.cast("bigint"))]
-    if by_download:
-        users.append(Entry("unique_users_by_download", (seen & (F.col("downloads") > 0)).cast("bigint")))
-    return users
+def locate_counts(counted: DataFrame, geo: GeoTable, outer: list[str]) -> DataFrame:
+    """Counts with the country of those per address, and ``kind`` naming the grouping set."""
+    kinds = ("key", "folder_address", "address", "referrer")
+    columns = set_columns(grouping_sets(outer))
+    located = resolve_addresses(counted, geo, [*columns, "grouping"], F.col(ADDRESS))
+    kind = F.lit(None)
+    for name, grouping_set in zip(kinds, grouping_sets(outer)):
+        kind = F.when(in_set(columns, grouping_set), name).otherwise(kind)
+    return located.withColumn("kind", kind)
 
 
-def section_entries(
-    counted: DataFrame,
-    geo: GeoTable,
-    outer: list[str],
-    whole: dict[str, list[Entry]],
-    folder: dict[str, list[Entry]],
+def sum_entries(
+    located: DataFrame, outer: list[str], whole: dict[str, list[Entry]], folder: dict[str, list[Entry]]
 ) -> DataFrame:
     """Sum the entries of counted rows per section.
 
@@ -69,31 +80,20 @@ def section_entries(
     referrer) add on either level. Result: the ``outer`` columns, ``scope``, the
     folder (NULL for the whole service), ``metric``, ``sub_key`` and ``n``.
     """
-    sets = grouping_sets(outer)
-    columns = set_columns(sets)
-    by_key, by_folder_address, by_address, by_referrer = (in_set(columns, s) for s in sets)
-    located = resolve_addresses(counted, geo, [*columns, "grouping"], F.col(ADDRESS))
 
-    def entries(scope: str, given: list[Entry]) -> list[Column]:
-        return [
-            F.struct(
-                F.lit(scope).alias("scope"),
-                F.lit(e.metric).alias("metric"),
-                (F.lit(None).cast("string") if e.sub_key is None else e.sub_key).alias("sub_key"),
-                F.lit(e.sub_key is not None).alias("is_value"),
-                (e.n if e.when is None else F.when(e.when, e.n)).alias("n"),
-            )
-            for e in given
-        ]
-
-    row_entries = (
-        F.when(by_key, F.array(*entries(WHOLE_SCOPE, whole[KEY]), *entries(FOLDER_SCOPE, folder[KEY])))
-        .when(by_folder_address, F.array(*entries(FOLDER_SCOPE, folder[ADDRESS])))
-        .when(by_address, F.array(*entries(WHOLE_SCOPE, whole[ADDRESS])))
-        .when(by_referrer, F.array(*entries(WHOLE_SCOPE, whole[REFERRER]), *entries(FOLDER_SCOPE, folder[REFERRER])))
-    )
-    exploded = located.select(*outer, FOLDER, F.inline(row_entries))
+    def entries(kind: str, *levels: tuple[str, list[Entry]]) -> str:
+        structs = ", ".join(entry.struct(scope) for scope, given in levels for entry in given)
+        return f"WHEN '{kind}' THEN array({structs})"
+
+    both = {column: ((WHOLE_SCOPE, whole[column]), (FOLDER_SCOPE, folder[column])) for column in (KEY, ADDRESS, REFERRER)}
+    cases = [
+        entries("key", *both[KEY]),
+        entries("folder_address", both[ADDRESS][1]),
+        entries("address", both[ADDRESS][0]),
+        entries("referrer", *both[REFERRER]),
+    ]
+    exploded = located.select(*outer, FOLDER, F.expr(f"inline(CASE kind {' '.join(cases)} END)"))
     # A value counts from its first request on; a plain metric may be 0.
-    counts = exploded.where(~F.col("is_value") | ((F.col("n") > 0) & F.col("sub_key").isNotNull()))
-    section = F.when(F.col("scope") == FOLDER_SCOPE, F.col(FOLDER)).alias(FOLDER)
+    counts = exploded.where("NOT is_value OR (n > 0 AND sub_key IS NOT NULL)")
+    section = F.expr(f"IF(scope = '{FOLDER_SCOPE}', {FOLDER}, NULL)").alias(FOLDER)
     return counts.groupBy(*outer, "scope", section, "metric", "sub_key").agg(F.sum("n").alias("n"))

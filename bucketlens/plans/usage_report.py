@@ -15,12 +15,14 @@ from bucketlens.operators.selection import logs_in_period
 from bucketlens.plans.sections import (
     FOLDER,
     FOLDER_SCOPE,
+    KEY_ENTRIES,
+    USERS,
+    USERS_BY_DOWNLOAD,
     WHOLE_SCOPE,
     Entry,
-    address_entries,
     count_for_sections,
-    key_entries,
-    section_entries,
+    locate_counts,
+    sum_entries,
 )
 from bucketlens.session import staged
 from bucketlens.sinks.extracts import export_csv_gz, export_parquet
@@ -38,32 +40,35 @@ def section_counts(prepared: DataFrame, geo: GeoTable, interactions: bool = Fals
     Columns: scope, section, metric, sub_key, n. A ranked value's metric is its
     dimension, with ``_by_interaction`` for counts over interactions.
     """
-    folder = F.col(FOLDER)
-    has_section = R.has_section(folder)
-    with_components = has_section & R.has_components(folder)
+    key, folder = F.col(KEY), F.col(FOLDER)
+    located = locate_counts(count_for_sections(prepared, []), geo, [])
+    located = located.withColumns(
+        {
+            "has_section": R.has_section(folder),
+            "has_components": R.has_section(folder) & R.has_components(folder),
+            "project": R.project(key),
+            "feature": R.feature(key),
+            "fileformat": R.file_format(key),
+        }
+    )
 
-    def ranked_entries(dimension: str, value: Column, condition: Column | None = None) -> list[Entry]:
-        entries = [Entry(dimension, F.col("downloads"), value, condition)]
+    def ranked(dimension: str, value: str, condition: str | None) -> list[Entry]:
+        entries = [Entry(dimension, "downloads", value, condition)]
         if interactions:
-            entries.append(Entry(f"{dimension}_by_interaction", F.col("interactions"), value, condition))
+            entries.append(Entry(f"{dimension}_by_interaction", "interactions", value, condition))
         return entries
 
-    def dimensions(condition: Column | None) -> dict[str, list[Entry]]:
+    def dimensions(condition: str | None) -> dict[str, list[Entry]]:
         return {
-            KEY: [*key_entries(), *ranked_entries("file", F.col(KEY), condition)],
-            ADDRESS: [*address_entries(by_download=True), *ranked_entries("location", F.col("country"), condition)],
-            REFERRER: ranked_entries("referrer", F.col(REFERRER), condition),
+            KEY: [*KEY_ENTRIES, *ranked("file", KEY, condition)],
+            ADDRESS: [USERS, USERS_BY_DOWNLOAD, *ranked("location", "country", condition)],
+            REFERRER: ranked("referrer", REFERRER, condition),
         }
 
-    key = F.col(KEY)
-    whole, by_folder = dimensions(None), dimensions(has_section)
-    by_folder[KEY] += [
-        *ranked_entries("project", R.project(key), with_components),
-        *ranked_entries("feature", R.feature(key), with_components),
-        *ranked_entries("fileformat", R.file_format(key), with_components),
-    ]
-    counts = section_entries(count_for_sections(prepared, []), geo, [], whole, by_folder)
-    shown = (F.col("scope") != FOLDER_SCOPE) | has_section
+    whole, by_folder = dimensions(None), dimensions("has_section")
+    by_folder[KEY] += [e for name in ("project", "feature", "fileformat") for e in ranked(name, name, "has_components")]
+    counts = sum_entries(located, [], whole, by_folder)
+    shown = (F.col("scope") != FOLDER_SCOPE) | R.has_section(folder)
     return counts.where(shown).select(
         "scope", F.coalesce(FOLDER, F.lit(OVERALL)).alias("section"), "metric", "sub_key", "n"
     )

@@ -57,6 +57,7 @@ USAGE_COLUMNS = [
 KEY_PART_COLUMNS = ["dir", "folder", "category", "geom_type"]
 
 # Fixed values of the request rules.
+NO_VALUE = "-"
 NO_KEY = "-"
 NON_INTERACTION_METHODS = ["POST", "PUT", "DELETE"]
 DOWNLOAD_METHOD = "GET"

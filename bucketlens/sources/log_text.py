@@ -55,8 +55,11 @@ def parse_access_log(lines: DataFrame, columns: Iterable[str] | None = None) ->
         present = matched
         if numbers[name] >= S.OPTIONAL_TAIL_START:
             present = matched & (F.get("_fields", F.lit(0)) == " ")
-        value = F.when(present, F.get("_fields", F.lit(position)))
-        return (value.try_cast("bigint") if types[name] == "bigint" else value).alias(name)
+        field = F.get("_fields", F.lit(position))
+        if types[name] == "bigint":
+            # Most sizes that are no number are "-"; a failing cast costs far more than the test.
+            return F.when(present & (field != S.NO_VALUE), field.try_cast("bigint")).alias(name)
+        return F.when(present, field).alias(name)
 
     return split_lines.select(*(column(i, n) for i, n in enumerate(wanted, start=1)), *kept)
 

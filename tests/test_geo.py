@@ -1,5 +1,6 @@
 import ipaddress
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,7 +104,7 @@ def probes():
 def test_narrowest_range_wins(spark, table, networks, ranges, broadcastable):
     addresses = probes()
     requests = spark.createDataFrame([(i, a) for i, a in enumerate(addresses)], "i int, remoteip string")
-    looked_up = G.with_country(requests, G.GeoTable(table.prefixes, table.lengths, broadcastable))
+    looked_up = G.with_country(requests, replace(table, broadcastable=broadcastable))
     assert rows(looked_up) == sorted(
         ((i, a, country_of(a, networks, ranges)) for i, a in enumerate(addresses)), key=repr
     )
@@ -121,11 +122,12 @@ def test_prefixes_cover_the_range_exactly(spark):
         assert len(prefixes) <= 240
 
 
-def test_hot_address_and_missing_addresses(spark, table, networks, ranges):
+@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
+def test_hot_address_and_missing_addresses(spark, table, networks, ranges, broadcast_rows):
     """One address with most of the rows, and many rows without any."""
     addresses = ["10.0.0.1"] * 3000 + [None] * 1500 + near_addresses(random.Random(5), 300)
     requests = spark.createDataFrame([(i, a) for i, a in enumerate(addresses)], "i int, remoteip string")
-    looked_up = {r.i: r.country for r in G.with_country(requests, table).collect()}
+    looked_up = {r.i: r.country for r in G.with_country(requests, table, broadcast_rows=broadcast_rows).collect()}
     assert looked_up == {i: country_of(a, networks, ranges) for i, a in enumerate(addresses)}
 
 
@@ -135,6 +137,7 @@ def test_lookup_of_counted_addresses_adds_no_shuffle(prepared, geo):
     # Counting per address, summing per country, and the small table itself.
     assert plan.count("Exchange hashpartitioning(day") == 2
     assert plan.count("Exchange hashpartitioning") == 3
+    assert "SortAggregate" not in plan
 
 
 def test_lookup_per_request_agrees_with_lookup_per_count(prepared, geo):
