@@ -26,7 +26,7 @@ from bucketlens.plans.sections import (
 )
 from bucketlens.session import staged
 from bucketlens.sinks.extracts import export_csv_gz, export_parquet
-from bucketlens.sinks.metrics import period_metrics, write_period_metrics
+from bucketlens.sinks.metrics import write_period_metrics
 from bucketlens.sources.log_text import scan_access_log
 from bucketlens.sources.results import load_metrics_history
 
@@ -118,11 +118,32 @@ def section_summaries(top: DataFrame) -> DataFrame:
     return top.where(F.col("sub_key").isNull()).groupBy("scope", "section").agg(*metrics)
 
 
+def overall_document(top: DataFrame, start: str, end: str) -> DataFrame:
+    """The whole service's metrics of a window as one row, rankings as maps.
+
+    ``period_start`` and ``period_end`` name the window; an empty window gives no row.
+    """
+
+    def plain(metric: str) -> Column:
+        value = F.max(F.when((F.col("metric") == metric) & F.col("sub_key").isNull(), F.col("n")))
+        return (size_text(value) if metric in SIZE_METRICS else value).alias(S.REPORT_METRICS[metric])
+
+    def ranking(dimension: str) -> Column:
+        ranked = F.collect_list(F.when(F.col("metric") == dimension, F.struct("rank", "sub_key", "n")))
+        pairs = F.transform(F.array_sort(ranked), lambda r: F.struct(r["sub_key"], r["n"]))
+        return F.map_from_entries(pairs).alias(S.DOWNLOAD_RANKINGS[dimension])
+
+    metrics = [*map(plain, S.REPORT_METRICS), *map(ranking, ("file", "location", "referrer"))]
+    return top.where(F.col("scope") == WHOLE_SCOPE).groupBy(
+        F.to_date(F.lit(start), S.DAY_FORMAT).alias("period_start"), F.to_date(F.lit(end), S.DAY_FORMAT).alias("period_end")
+    ).agg(*metrics)
+
+
 def _metric_name() -> Column:
     by_interaction = {f"{d}_by_interaction": name for d, name in S.INTERACTION_RANKINGS.items()}
     names = {**S.REPORT_METRICS, **S.DOWNLOAD_RANKINGS, **by_interaction}
-    pairs = [F.lit(x) for pair in names.items() for x in pair]
-    return F.element_at(F.create_map(*pairs), F.col("metric")).alias("metric")
+    cases = " ".join(f"WHEN '{metric}' THEN '{name}'" for metric, name in names.items())
+    return F.expr(f"CASE metric {cases} END").alias("metric")
 
 
 def _value_text() -> Column:
@@ -167,7 +188,9 @@ def usage_report(
     under ``results``. Everything after the extract reads the extract, and it is read
     once for all metrics, rankings and sentences.
     """
-    extract = logs_in_period(scan_access_log(spark, base, start, end), start, end, select_all)
+    columns = None if select_all else S.USAGE_COLUMNS
+    scanned = scan_access_log(spark, base, start, end, columns)
+    extract = logs_in_period(scanned, start, end, select_all)
     path = export_parquet(extract, f"{results}/extracts", start, end)
     logs = spark.read.schema(extract.schema).parquet(path)
     export_csv_gz(logs, f"{results}/extracts", start, end)
@@ -175,13 +198,12 @@ def usage_report(
     prepared = prepare(logs)
     # A few rows per section, read by all that follows.
     top = staged(top_of_sections(section_counts(prepared, geo, interactions)), "report-sections")
-    summaries = section_summaries(top)
-    current = period_metrics(summaries.where(F.col("scope") == WHOLE_SCOPE), start, end)
+    current = overall_document(top, start, end)
     history_path = f"{results}/history"
     write_period_metrics(current, history_path)
     return {
         "rows": report_rows(top, interactions),
-        "sentences": summary_sentences(summaries),
+        "sentences": summary_sentences(section_summaries(top)),
         "trend": usage_trend(current, load_metrics_history(spark, history_path)),
         "span": request_time_span(prepared),
     }

@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bucketlens import schema as S
 from bucketlens.sinks.extracts import replace_partitions
 from bucketlens.sources.results import read_if_stored
 
@@ -28,12 +27,3 @@ def as_json_documents(documents: DataFrame) -> DataFrame:
 def write_period_metrics(metrics: DataFrame, path: str) -> None:
     """Overall metrics as one JSON document per period (period_start, period_end)."""
     replace_partitions(metrics, path, ["period_start", "period_end"], "json")
-
-
-def period_metrics(summary: DataFrame, start: str, end: str) -> DataFrame:
-    """A summary row under the names the history uses, with its period."""
-    day = {"period_start": start, "period_end": end}
-    return summary.select(
-        *(F.to_date(F.lit(text), S.DAY_FORMAT).alias(name) for name, text in day.items()),
-        *(F.col(c).alias(name) for c, name in S.REPORT_METRICS.items()),
-    )

@@ -339,9 +339,10 @@ def upsert_daily_metrics(spark, sf_dir):
 
 
 def write_period_metrics(spark, sf_dir):
+    """The whole service's metrics stored as a document, and what the history reads of it."""
     path = work_dir(spark, "history")
-    overall = M.summarize(prepared(spark, sf_dir))
-    W.write_period_metrics(W.period_metrics(overall, "2024/01/01", "2024/01/31"), path)
+    top = U.top_of_sections(U.section_counts(prepared(spark, sf_dir), geo(spark, sf_dir)))
+    W.write_period_metrics(U.overall_document(top, "2024/01/01", "2024/01/31"), path)
     return _dates_as_text(SR.load_metrics_history(spark, path))
 
 

@@ -139,6 +139,28 @@ def test_usage_report(spark, log_tree, geo, prepared):
     assert rows(csv) == rows(extract) and extract.count() == 950
 
 
+def test_usage_report_of_all_columns(spark, log_tree, geo, prepared):
+    results = work_dir(spark, "test-report")
+    report = U.usage_report(spark, log_tree, "2024/01/01", "2024/01/30", geo, results, select_all=True)
+    assert rows(report["rows"]) == rows(U.report_rows(U.top_of_sections(U.section_counts(prepared, geo))))
+    extract = spark.read.parquet(X.extract_path(f"{results}/extracts", "2024/01/01", "2024/01/30", "parquet"))
+    assert len(extract.columns) == 27
+
+
+def test_period_document(spark, prepared, geo):
+    path = work_dir(spark, "test-history")
+    top = staged(U.top_of_sections(U.section_counts(prepared, geo)), "test-top")
+    for _ in range(2):
+        W.write_period_metrics(U.overall_document(top, "2024/01/01", "2024/01/31"), path)
+    (text,) = values(spark.read.text(f"{path}/*/*"), "value")
+    document = json.loads(text)
+    (overall,) = summarize(prepared).collect()
+    assert document["total_overall_interactions_count"] == overall.interactions_count
+    assert document["total_dataset_downloaded_size"].endswith("B")
+    ranked = top.where("scope = 'whole' AND metric = 'file'").orderBy("rank")
+    assert list(document["popular_files_by_download"].items()) == [(r.sub_key, r.n) for r in ranked.collect()]
+
+
 def test_usage_report_of_a_window_without_logs(spark, log_tree, geo):
     report = U.usage_report(spark, log_tree, "2030/01/01", "2030/01/31", geo, work_dir(spark, "test-report"))
     assert report["rows"].count() == 0
