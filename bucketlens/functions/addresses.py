@@ -18,11 +18,12 @@ IPV4_DIGITS = 8
 IPV6_DIGITS = 32
 
 
-def ipv4_hex(ip: Column) -> Column:
-    """Eight hexadecimal digits of a valid dotted address, else NULL."""
-    octets = F.split(ip, r"\.")
-    digits = [F.lpad(F.hex(F.get(octets, F.lit(i)).try_cast("bigint")), 2, "0") for i in range(4)]
-    return F.when(ip.rlike(_IPV4), F.lower(F.concat(*digits)))
+def with_ipv4_hex(df: DataFrame, ip: Column, name: str) -> DataFrame:
+    """Add the eight hexadecimal digits of a valid dotted address, NULL for other text."""
+    octet = [F.get(F.col("_octets"), F.lit(i)).cast("bigint") for i in range(4)]
+    number = ((octet[0] * 256 + octet[1]) * 256 + octet[2]) * 256 + octet[3]
+    steps = df.withColumn("_octets", F.when(ip.rlike(_IPV4), F.split(ip, r"\.")))
+    return steps.withColumn(name, F.lower(F.lpad(F.hex(number), IPV4_DIGITS, "0"))).drop("_octets")
 
 
 def with_ipv6_hex(df: DataFrame, ip: Column, name: str) -> DataFrame:
@@ -37,11 +38,11 @@ def with_ipv6_hex(df: DataFrame, ip: Column, name: str) -> DataFrame:
     )
     # Every group to four digits: three zeros in front, then its last four.
     four_digits = F.regexp_replace(F.regexp_replace(text, "([0-9a-f]+)", "000$1"), "[0-9a-f]*([0-9a-f]{4})", "$1")
-    steps = (
-        df.withColumn("_text", F.lower(F.when(F.instr(ip, ":") > 0, ip)))
-        .withColumn("_last", F.when(F.contains(text, F.lit(".")), ipv4_hex(F.regexp_extract(text, dotted_end, 2))))
-        .withColumn("_text", F.when(F.contains(text, F.lit(".")), as_groups).otherwise(text))
-        .withColumn("_padded", F.when(text.rlike(_IPV6), four_digits))
+    dotted = F.contains(text, F.lit("."))
+    steps = df.withColumn("_text", F.lower(F.when(F.instr(ip, ":") > 0, ip)))
+    steps = with_ipv4_hex(steps, F.when(dotted, F.regexp_extract(text, dotted_end, 2)), "_last")
+    steps = steps.withColumn("_text", F.when(dotted, as_groups).otherwise(text)).withColumn(
+        "_padded", F.when(text.rlike(_IPV6), four_digits)
     )
     gap = F.instr(padded, "::")
     head = F.translate(F.substring_index(padded, "::", 1), ":", "")
@@ -57,8 +58,9 @@ def with_address_text(df: DataFrame, ip: Column, name: str) -> DataFrame:
 
     IPv4 addresses written inside IPv6 (``::ffff:a.b.c.d``) count as IPv4.
     """
-    v6 = F.col("_v6")
-    text6 = F.when(v6.startswith(_MAPPED), F.concat(F.lit("4"), F.substring(v6, 25, 8))).otherwise(
+    v4, v6 = F.col("_v4"), F.col("_v6")
+    text = F.when(v6.startswith(_MAPPED), F.concat(F.lit("4"), F.substring(v6, 25, 8))).otherwise(
         F.concat(F.lit("6"), v6)
     )
-    return with_ipv6_hex(df, ip, "_v6").withColumn(name, F.coalesce(F.concat(F.lit("4"), ipv4_hex(ip)), text6)).drop("_v6")
+    both = with_ipv6_hex(with_ipv4_hex(df, ip, "_v4"), ip, "_v6")
+    return both.withColumn(name, F.coalesce(F.concat(F.lit("4"), v4), text)).drop("_v4", "_v6")

@@ -114,14 +114,12 @@ def _range_prefixes(ranges: DataFrame) -> DataFrame:
 
 
 def _ipv4_networks(networks: DataFrame) -> DataFrame:
-    size = F.pow(F.lit(2.0), F.lit(32) - F.col("_bits")).cast("bigint")
+    size = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(32) - F.col("_bits"))
     base = F.conv(F.col("_hex"), 16, 10).cast("bigint")
+    text = F.split_part("network", F.lit("/"), F.lit(1))
     return (
-        networks.select(
-            A.ipv4_hex(F.split_part("network", F.lit("/"), F.lit(1))).alias("_hex"),
-            F.split_part("network", F.lit("/"), F.lit(2)).try_cast("int").alias("_bits"),
-            "iso_code",
-        )
+        A.with_ipv4_hex(networks, text, "_hex")
+        .select("_hex", F.split_part("network", F.lit("/"), F.lit(2)).try_cast("int").alias("_bits"), "iso_code")
         .where(F.col("_hex").isNotNull() & F.col("_bits").between(0, 32))
         .select((base - base % size).alias("range_start"), (base - base % size + size - 1).alias("range_end"), "iso_code")
     )

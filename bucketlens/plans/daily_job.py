@@ -13,13 +13,11 @@ from bucketlens.operators.selection import filter_object_requests
 from bucketlens.plans.sections import (
     FOLDER,
     FOLDER_SCOPE,
-    KEY_ENTRIES,
-    USERS,
     WHOLE_SCOPE,
-    Entry,
+    Value,
     count_for_sections,
     locate_counts,
-    sum_entries,
+    sum_sections,
 )
 from bucketlens.sinks.metrics import read_daily_metrics, upsert_daily_metrics
 from bucketlens.sources.log_text import scan_access_log
@@ -52,12 +50,12 @@ def count_days(prepared: DataFrame) -> DataFrame:
 
 def daily_metrics_from_counts(counted: DataFrame, geo: GeoTable) -> DataFrame:
     """Long form of the daily metrics: date, scope, folder, metric, sub_key, value."""
-    locations = Entry("locations", "requests", "country")
-    referrers = Entry("referrers", "requests", REFERRER)
-    files = Entry("meta_downloads", "downloads", KEY)
-    folder = {KEY: KEY_ENTRIES, ADDRESS: [USERS, locations], REFERRER: [referrers]}
-    whole = {**folder, KEY: [*KEY_ENTRIES, files]}
-    entries = sum_entries(locate_counts(counted, geo, ["day"]), ["day"], whole, folder)
+    locations = Value("locations", "country", "requests")
+    referrers = Value("referrers", REFERRER, "requests")
+    files = Value("meta_downloads", KEY, "downloads")
+    folder = {KEY: [], ADDRESS: [locations], REFERRER: [referrers]}
+    whole = {**folder, KEY: [files]}
+    entries = sum_sections(locate_counts(counted, geo, ["day"]), ["day"], S.DAILY_METRICS, whole, folder)
     return entries.select(
         R.partition_day(F.col("day")).alias("date"),
         "scope",

@@ -17,38 +17,42 @@ FOLDER = "top_level_key"
 WHOLE_SCOPE, FOLDER_SCOPE = "whole", "folder"
 
 
+# The plain metrics as sums over rows of counts, by the kind of row they come from.
+KEY_SUMS = {
+    "interactions_count": "interactions",
+    "downloads_count": "downloads",
+    "unique_downloads": f"IF({KEY} IS NOT NULL AND downloads > 0, 1, 0)",
+    "uploads_count": f"IF({KEY} IS NOT NULL AND uploads > 0, 1, 0)",
+    "download_size": "download_bytes",
+    "upload_size": "upload_bytes",
+}
+ADDRESS_SUMS = {
+    "unique_users": f"IF({ADDRESS} IS NOT NULL, 1, 0)",
+    "unique_users_by_download": f"IF({ADDRESS} IS NOT NULL AND downloads > 0, 1, 0)",
+}
+SUMS = [*KEY_SUMS, *ADDRESS_SUMS]
+
+
 @dataclass(frozen=True)
-class Entry:
-    """``n`` is added to a metric; entries with a ``sub_key`` count one of many values.
+class Value:
+    """A value counted under a metric: ``sub_key`` gets ``n``, where ``when`` holds.
 
-    ``n``, ``sub_key`` and ``when`` are SQL expressions over a row of counts.
+    All three are SQL expressions over a row of counts.
     """
 
     metric: str
+    sub_key: str
     n: str
-    sub_key: str | None = None
-    when: str | None = None
-
-    def struct(self, scope: str) -> str:
-        n = self.n if self.when is None else f"IF({self.when}, {self.n}, NULL)"
-        return (
-            f"named_struct('scope', '{scope}', 'metric', '{self.metric}', "
-            f"'sub_key', CAST({self.sub_key or 'NULL'} AS STRING), 'is_value', {self.sub_key is not None}, "
-            f"'n', CAST({n} AS BIGINT))"
-        )
-
-
-# Entries of the plain metrics, per kind of row.
-KEY_ENTRIES = [
-    Entry("interactions_count", "interactions"),
-    Entry("downloads_count", "downloads"),
-    Entry("unique_downloads", f"IF({KEY} IS NOT NULL AND downloads > 0, 1, 0)"),
-    Entry("uploads_count", f"IF({KEY} IS NOT NULL AND uploads > 0, 1, 0)"),
-    Entry("download_size", "download_bytes"),
-    Entry("upload_size", "upload_bytes"),
-]
-USERS = Entry("unique_users", f"IF({ADDRESS} IS NOT NULL, 1, 0)")
-USERS_BY_DOWNLOAD = Entry("unique_users_by_download", f"IF({ADDRESS} IS NOT NULL AND downloads > 0, 1, 0)")
+    when: str = "true"
+
+
+def _struct(scope: str, metric: str | None = None, sub_key: str = "NULL", n: str = "NULL", sums: dict[str, str] = {}) -> str:
+    name = f"'{metric}'" if metric else "CAST(NULL AS STRING)"
+    totals = "".join(f", '{m}', CAST({sums.get(m, 'NULL')} AS BIGINT)" for m in SUMS)
+    return (
+        f"named_struct('scope', '{scope}', 'metric', {name}, 'sub_key', CAST({sub_key} AS STRING), "
+        f"'n', CAST({n} AS BIGINT){totals})"
+    )
 
 
 def grouping_sets(outer: list[str]) -> list[list[str]]:
@@ -71,29 +75,37 @@ def locate_counts(counted: DataFrame, geo: GeoTable, outer: list[str]) -> DataFr
     return located.withColumn("kind", kind)
 
 
-def sum_entries(
-    located: DataFrame, outer: list[str], whole: dict[str, list[Entry]], folder: dict[str, list[Entry]]
+def sum_sections(
+    located: DataFrame, outer: list[str], metrics: list[str], whole: dict[str, list[Value]], folder: dict[str, list[Value]]
 ) -> DataFrame:
-    """Sum the entries of counted rows per section.
+    """Add counted rows up to the metrics of every section.
 
-    ``whole`` and ``folder`` give the entries that rows of each kind (key, remoteip,
-    referrer) add on either level. Result: the ``outer`` columns, ``scope``, the
-    folder (NULL for the whole service), ``metric``, ``sub_key`` and ``n``.
+    Each row gives one entry with its plain metrics per level, and one per value
+    that ``whole`` and ``folder`` list for its kind (key, remoteip, referrer). Result:
+    the ``outer`` columns, ``scope``, the folder (NULL for the whole service),
+    ``metric``, ``sub_key`` (NULL for plain metrics) and ``n``.
     """
 
-    def entries(kind: str, *levels: tuple[str, list[Entry]]) -> str:
-        structs = ", ".join(entry.struct(scope) for scope, given in levels for entry in given)
-        return f"WHEN '{kind}' THEN array({structs})"
+    def entries(kind: str, column: str, sums: dict[str, str], *scopes: str) -> str:
+        structs = [_struct(scope, sums=sums) for scope in scopes if sums]
+        for scope in scopes:
+            given = whole if scope == WHOLE_SCOPE else folder
+            structs += [
+                _struct(scope, v.metric, v.sub_key, f"IF({v.when}, {v.n}, NULL)") for v in given[column]
+            ]
+        return f"WHEN '{kind}' THEN array({', '.join(structs)})"
 
-    both = {column: ((WHOLE_SCOPE, whole[column]), (FOLDER_SCOPE, folder[column])) for column in (KEY, ADDRESS, REFERRER)}
     cases = [
-        entries("key", *both[KEY]),
-        entries("folder_address", both[ADDRESS][1]),
-        entries("address", both[ADDRESS][0]),
-        entries("referrer", *both[REFERRER]),
+        entries("key", KEY, KEY_SUMS, WHOLE_SCOPE, FOLDER_SCOPE),
+        entries("folder_address", ADDRESS, ADDRESS_SUMS, FOLDER_SCOPE),
+        entries("address", ADDRESS, ADDRESS_SUMS, WHOLE_SCOPE),
+        entries("referrer", REFERRER, {}, WHOLE_SCOPE, FOLDER_SCOPE),
     ]
     exploded = located.select(*outer, FOLDER, F.expr(f"inline(CASE kind {' '.join(cases)} END)"))
-    # A value counts from its first request on; a plain metric may be 0.
-    counts = exploded.where("NOT is_value OR (n > 0 AND sub_key IS NOT NULL)")
+    # A value counts from its first request on.
+    counts = exploded.where("metric IS NULL OR (n > 0 AND sub_key IS NOT NULL)")
     section = F.expr(f"IF(scope = '{FOLDER_SCOPE}', {FOLDER}, NULL)").alias(FOLDER)
-    return counts.groupBy(*outer, "scope", section, "metric", "sub_key").agg(F.sum("n").alias("n"))
+    summed = counts.groupBy(*outer, "scope", section, "metric", "sub_key").agg(*(F.sum(c).alias(c) for c in ["n", *SUMS]))
+    plain = ", ".join(f"named_struct('metric', '{m}', 'sub_key', CAST(NULL AS STRING), 'n', {m})" for m in metrics)
+    as_rows = f"IF(metric IS NULL, array({plain}), array(named_struct('metric', metric, 'sub_key', sub_key, 'n', n)))"
+    return summed.select(*outer, "scope", FOLDER, F.expr(f"inline({as_rows})"))

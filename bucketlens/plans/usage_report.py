@@ -15,14 +15,11 @@ from bucketlens.operators.selection import logs_in_period
 from bucketlens.plans.sections import (
     FOLDER,
     FOLDER_SCOPE,
-    KEY_ENTRIES,
-    USERS,
-    USERS_BY_DOWNLOAD,
     WHOLE_SCOPE,
-    Entry,
+    Value,
     count_for_sections,
     locate_counts,
-    sum_entries,
+    sum_sections,
 )
 from bucketlens.session import staged
 from bucketlens.sinks.extracts import export_csv_gz, export_parquet
@@ -52,22 +49,19 @@ def section_counts(prepared: DataFrame, geo: GeoTable, interactions: bool = Fals
         }
     )
 
-    def ranked(dimension: str, value: str, condition: str | None) -> list[Entry]:
-        entries = [Entry(dimension, "downloads", value, condition)]
+    def ranked(dimension: str, value: str, condition: str) -> list[Value]:
+        values = [Value(dimension, value, "downloads", condition)]
         if interactions:
-            entries.append(Entry(f"{dimension}_by_interaction", "interactions", value, condition))
-        return entries
-
-    def dimensions(condition: str | None) -> dict[str, list[Entry]]:
-        return {
-            KEY: [*KEY_ENTRIES, *ranked("file", KEY, condition)],
-            ADDRESS: [USERS, USERS_BY_DOWNLOAD, *ranked("location", "country", condition)],
-            REFERRER: ranked("referrer", REFERRER, condition),
-        }
+            values.append(Value(f"{dimension}_by_interaction", value, "interactions", condition))
+        return values
+
+    def dimensions(condition: str) -> dict[str, list[Value]]:
+        columns = {KEY: ("file", KEY), ADDRESS: ("location", "country"), REFERRER: ("referrer", REFERRER)}
+        return {column: ranked(*dimension, condition) for column, dimension in columns.items()}
 
-    whole, by_folder = dimensions(None), dimensions("has_section")
-    by_folder[KEY] += [e for name in ("project", "feature", "fileformat") for e in ranked(name, name, "has_components")]
-    counts = sum_entries(located, [], whole, by_folder)
+    whole, by_folder = dimensions("true"), dimensions("has_section")
+    by_folder[KEY] += [v for name in ("project", "feature", "fileformat") for v in ranked(name, name, "has_components")]
+    counts = sum_sections(located, [], list(S.REPORT_METRICS), whole, by_folder)
     shown = (F.col("scope") != FOLDER_SCOPE) | R.has_section(folder)
     return counts.where(shown).select(
         "scope", F.coalesce(FOLDER, F.lit(OVERALL)).alias("section"), "metric", "sub_key", "n"
