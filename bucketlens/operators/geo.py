@@ -9,9 +9,9 @@ from bucketlens import schema as S
 from bucketlens.functions import addresses as A
 from bucketlens.session import staged
 
-# Beyond this many rows (some 100 MB in memory) a lookup table is joined by a
+# Beyond this many rows (some 200 MB in memory) a lookup table is joined by a
 # shuffle instead of being sent to every executor.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 2_000_000
 
 # An address is hot when it holds more than 1 / HOT_SHARE of all rows, so there
 # are never more than HOT_SHARE hot addresses.

@@ -81,7 +81,8 @@ def daily_metrics_document(rows: DataFrame, entries_per_part: int = ENTRIES_PER_
     values = rows.where(F.col("metric").isin(VALUE_METRICS))
     parts = values.groupBy("date").agg(F.ceil(F.count(F.lit(1)) / entries_per_part).cast("bigint").alias("parts"))
     part = F.pmod(F.xxhash64("scope", "folder", "metric", "sub_key"), F.col("parts")).alias("part")
-    spread = values.join(parts, "date").select(*values.columns, part)
+    # One row per day, so never large.
+    spread = values.join(F.broadcast(parts), "date").select(*values.columns, part)
 
     def entries_of(metric: str) -> Column:
         pairs = F.collect_list(F.when(F.col("metric") == metric, F.struct(F.col("sub_key"), F.col("value"))))
@@ -107,7 +108,7 @@ def daily_metrics_document(rows: DataFrame, entries_per_part: int = ENTRIES_PER_
     return (
         whole.join(folders, ["date", "part"], "full")
         .withColumns({m: F.coalesce(m, none) for m in VALUE_METRICS})
-        .join(whole_scalars, "date")
+        .join(F.broadcast(whole_scalars), "date")
         .select(
             "date",
             "part",
