@@ -72,14 +72,16 @@ def prepared(spark: SparkSession, sf_dir: str, lenient: bool = False) -> DataFra
 
 def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range per nation, and a narrower one inside it (every fifth without a country)."""
-    n = F.col("n_nationkey").cast("bigint")
-    base = F.lit(10 * 256**3).cast("bigint") + n * 65536
-    inner = base + n % 7 * 256
-    nations = table(spark, sf_dir, "nation")
-    short = F.when(n % 5 != 0, F.upper(F.substring("n_name", 1, 2)))
-    wide = nations.select(base.alias("range_start"), (base + 65535).alias("range_end"), F.col("n_name").alias("iso_code"))
-    narrow = nations.select(inner.alias("range_start"), (inner + 127).alias("range_end"), short.alias("iso_code"))
-    return wide.unionByName(narrow)
+    inner = "10L * 16777216 + n * 65536 + n % 7 * 256"
+    short = "CASE WHEN n % 5 <> 0 THEN upper(substring(n_name, 1, 2)) END"
+    return (
+        table(spark, sf_dir, "nation")
+        .selectExpr("CAST(n_nationkey AS BIGINT) AS n", "n_name")
+        .selectExpr(
+            f"""stack(2, 10L * 16777216 + n * 65536, 10L * 16777216 + n * 65536 + 65535, n_name,
+                {inner}, {inner} + 127, {short}) AS (range_start, range_end, iso_code)"""
+        )
+    )
 
 
 def geo(spark: SparkSession, sf_dir: str) -> GeoTable:
