@@ -7,14 +7,14 @@ from bucketlens import schema as S
 from bucketlens.operators.geo import GeoTable, geo_table
 from bucketlens.operators.prepare import prepare
 from bucketlens.operators.selection import filter_object_requests
-from bucketlens.session import use_utc
+from bucketlens.session import configure
 
 # The window of the queries whose feature is a window.
 WINDOW_START, WINDOW_END = "2024/01/05", "2024/01/20"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 QUOTED_DASH = "'-'"
