@@ -1,6 +1,5 @@
 """Session settings and the shared working folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,16 +20,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path under the folder named by ``spark.checkpoint.dir``.
+    """A fresh path in a folder that driver and executors share.
 
-    Every executor must see it, so a temporary folder of this machine is used
-    only where driver and executors share the machine (local mode).
+    That is the folder named by ``spark.checkpoint.dir``; where it is unset, the
+    warehouse folder, which has to be shared for saved tables anyway.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="bucketlens-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{base.rstrip('/')}/{APP_FOLDER}/{name}-{uuid.uuid4().hex}"
 
 

@@ -4,11 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+import registry.oracles
+import registry.queries
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = registry.queries.QUERIES, registry.oracles.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +23,7 @@ def database(tables):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
