@@ -2,13 +2,17 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bucketlens.llm import mixing, quality_rules, sharding
+from bucketlens.llm import line_dedup, mixing, quality_rules, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_line_dedup(spark, sf_dir):
+    return line_dedup.line_dedup_query(documents(spark, sf_dir))
+
+
 def op4_sharding(spark, sf_dir):
     return sharding.shard_documents(documents(spark, sf_dir))
 
@@ -22,12 +26,14 @@ def op9_mixing(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
     "op4_sharding": op4_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op9_mixing": op9_mixing,
 }
 
 ORACLES = {
+    "op3_line_dedup": line_dedup.oracle(),
     "op6_quality_rules": quality_rules.oracle(),
     "op9_mixing": mixing.oracle(),
 }
