@@ -1,7 +1,10 @@
 """What the corpus operators share: word pattern, row digests, skew-safe joins."""
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +42,23 @@ def spread_join(rows: DataFrame, lookup: DataFrame, keys: list[str], spread_by:
     copied = copied.withColumn("_r_salt", F.explode(F.lit(list(range(copies)))))
     matched = salted.join(copied, same(salted, copied, ["_salt", *keys], ["_r_salt", *right_keys]), "left")
     return matched.drop("_salt", "_r_salt", *right_keys)
+
+
+def summed(df: DataFrame, of_batch: Callable[[pa.RecordBatch], np.ndarray], width: int) -> np.ndarray:
+    """Sum over all batches of the vector ``of_batch`` makes of each; its width is fixed.
+
+    Every task adds up its batches and reports the places that aren't 0; Spark adds the
+    reports up per place, and ``width`` numbers come to the driver.
+    """
+
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width)
+        for batch in batches:
+            total += of_batch(batch)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["place", "value"])
+
+    result = np.zeros(width)
+    for place, value in df.mapInArrow(report, "place INT, value DOUBLE").groupBy("place").agg(F.sum("value")).collect():
+        result[place] = value
+    return result

@@ -2,13 +2,25 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bucketlens.llm import line_dedup, mixing, quality_rules, sharding
+import public_tokenizers
+
+from bucketlens.llm import bpe, language_id, line_dedup, mixing, quality_classifier, quality_rules, sharding
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op2_quality_classifier(spark, sf_dir):
+    return quality_classifier.quality_query(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op3_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup_query(documents(spark, sf_dir))
 
@@ -21,15 +33,26 @@ def op6_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules_query(documents(spark, sf_dir))
 
 
+def op7_language_id(spark, sf_dir):
+    return language_id.language_query(documents(spark, sf_dir))
+
+
 def op9_mixing(spark, sf_dir):
     return mixing.mix_query(documents(spark, sf_dir))
 
 
+def op10_bpe(spark, sf_dir):
+    return bpe.bpe_query(documents(spark, sf_dir), TOKENIZER)
+
+
 QUERIES = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_line_dedup": op3_line_dedup,
     "op4_sharding": op4_sharding,
     "op6_quality_rules": op6_quality_rules,
+    "op7_language_id": op7_language_id,
     "op9_mixing": op9_mixing,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLES = {
