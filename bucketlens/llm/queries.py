@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from bucketlens.llm import bpe, language_id, line_dedup, mixing, quality_classifier, quality_rules, sharding
+from bucketlens.llm import bpe, language_id, line_dedup, mixing, quality_classifier, quality_rules, sharding, simhash
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -37,6 +37,10 @@ def op7_language_id(spark, sf_dir):
     return language_id.language_query(documents(spark, sf_dir))
 
 
+def op8_simhash(spark, sf_dir):
+    return simhash.simhash_query(documents(spark, sf_dir))
+
+
 def op9_mixing(spark, sf_dir):
     return mixing.mix_query(documents(spark, sf_dir))
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_language_id": op7_language_id,
+    "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
 }
