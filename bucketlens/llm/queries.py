@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from bucketlens.llm import bpe, language_id, line_dedup, mixing, quality_classifier, quality_rules, sharding, simhash
+from bucketlens.llm import bpe, embedding_dedup, language_id, line_dedup, mixing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -17,6 +17,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.suffix_query(documents(spark, sf_dir))
+
+
 def op2_quality_classifier(spark, sf_dir):
     return quality_classifier.quality_query(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -29,6 +33,10 @@ def op4_sharding(spark, sf_dir):
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+def op5_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op6_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules_query(documents(spark, sf_dir))
 
@@ -50,9 +58,11 @@ def op10_bpe(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_line_dedup": op3_line_dedup,
     "op4_sharding": op4_sharding,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_language_id": op7_language_id,
     "op8_simhash": op8_simhash,
