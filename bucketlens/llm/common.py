@@ -24,6 +24,11 @@ def id_remainder(doc_id: Column, divisor: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(divisor))
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """All columns as the struct ``_row``, so that no added column clashes with a given one."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row"))
+
+
 def same(left: DataFrame, right: DataFrame, names: list[str], right_names: list[str] | None = None) -> Column:
     """Null-safe equality on all ``names``."""
     pairs = zip(names, right_names or names)

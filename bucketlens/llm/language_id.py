@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bucketlens.llm.common import id_remainder, summed
+from bucketlens.llm.common import id_remainder, packed, summed
 
 BITS = 14
 UNKNOWN = "und"
@@ -159,24 +159,26 @@ def held_out(doc_id: Column) -> Column:
     return id_remainder(doc_id, 3) == 1
 
 
-def identify(docs: DataFrame) -> DataFrame:
-    """Documents with ``_language``: struct(lang_pred, score).
-
-    Learns from the text and language of documents that aren't held out. A text that is
-    NULL or has no letter is ``und`` with score 0, and so is any text if there is
-    nothing to learn from.
-    """
-    model = train(docs.where(~held_out(F.col("doc_id"))))
-    return docs.withColumn("_language", predictor(docs, model)("text"))
+def trained(docs: DataFrame) -> dict | None:
+    """The model of all documents that aren't held out; needs doc_id, text, lang."""
+    return train(docs.where(~held_out(F.col("doc_id"))))
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, min_score: float = 0.4) -> DataFrame:
     """Documents, columns as given, whose language is known with at least ``min_score``."""
+    language = predictor(docs, trained(docs))("_row.text")
+    found = packed(docs).withColumn("_language", language)
     known = (F.col("_language.lang_pred") != UNKNOWN) & (F.col("_language.score") >= min_score)
-    return identify(docs).where(known).select(*docs.columns)
+    return found.where(known).select("_row.*")
 
 
 def language_query(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score."""
-    found = identify(docs.select("doc_id", "text", "lang"))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "_language.lang_pred", "_language.score")
+    """doc_id, held_out, lang_pred, score.
+
+    Learns from the text and language of documents that aren't held out. A text that is
+    NULL or has no letter is ``und`` with score 0, and so is any text if there is
+    nothing to learn from. A NULL id is not held out.
+    """
+    language = predictor(docs, trained(docs))("text").alias("_language")
+    found = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), language)
+    return found.select("doc_id", "held_out", "_language.lang_pred", "_language.score")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bucketlens.llm.common import BLANKS, same, spread_join
+from bucketlens.llm.common import BLANKS, packed, same, spread_join
 from bucketlens.llm.repeats import maybe_repeated, repeat_filter
 from bucketlens.session import staged
 
@@ -116,15 +116,16 @@ def _kept_text(text: pa.Array, drop: pa.Array, first: pa.Array) -> pa.Array:
 
 
 def _with_repeats(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
-    identified = docs.withColumn("_text", F.xxhash64("text"))
-    repeated = repeated_lines(identified, min_docs, min_chars).withColumnsRenamed(
-        {"doc_id": "_r_id", "_text": "_r_text", "keys": "_keys", "first": "_first"}
-    )
-    return identified.join(repeated, same(identified, repeated, ["doc_id", "_text"], ["_r_id", "_r_text"]), "left")
+    """``_row`` (the document) with ``keys`` and ``first`` of the lines it shares."""
+    text = F.col("_row.text")
+    identified = packed(docs).select("_row", F.col("_row.doc_id").alias("doc_id"), F.xxhash64(text).alias("_text"), text.alias("text"))
+    repeated = repeated_lines(identified, min_docs, min_chars).toDF("_r_id", "_r_text", "keys", "first")
+    rows = identified.drop("text")
+    return rows.join(repeated, same(rows, repeated, ["doc_id", "_text"], ["_r_id", "_r_text"]), "left")
 
 
 def _spared(keep_first: bool) -> Column:
-    return F.col("_first") if keep_first else F.lit(None).cast("array<binary>")
+    return F.col("first") if keep_first else F.lit(None).cast("array<binary>")
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False) -> DataFrame:
@@ -134,17 +135,19 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_fi
     NULL or loses nothing stays as it is.
     """
     joined = _with_repeats(docs, min_docs, min_chars)
-    text = F.when(F.col("_keys").isNull(), F.col("text")).otherwise(_kept_text("text", "_keys", _spared(keep_first)))
-    return joined.select(*(text.alias(c) if c == "text" else F.col(c) for c in docs.columns))
+    text = F.col("_row.text")
+    rest = F.when(F.col("keys").isNull(), text).otherwise(_kept_text(text, "keys", _spared(keep_first)))
+    return joined.select(*((rest if c == "text" else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def line_dedup_query(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_sha256."""
     joined = _with_repeats(docs.select("doc_id", "text"), min_docs, min_chars)
+    text = F.col("_row.text")
     digest = joined.select(
         "doc_id",
-        F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("bigint").alias("n_lines"),
-        _digest("text", "_keys", _spared(False)).alias("_d"),
+        F.size(F.split(F.coalesce(text, F.lit("")), "\n")).cast("bigint").alias("n_lines"),
+        _digest(text, "keys", _spared(False)).alias("_d"),
     )
     return digest.select("doc_id", "n_lines", "_d.n_dropped", "_d.kept_sha256")
 

@@ -9,7 +9,7 @@ so a rerun or a recomputed task takes the same documents.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bucketlens.llm.common import spread_join, word_count
+from bucketlens.llm.common import packed, spread_join, word_count
 from bucketlens.session import staged
 
 WEIGHTS = (5, 2, 1)
@@ -85,9 +85,10 @@ def mix_documents(
     """The mixed corpus: every document as often as it is taken, columns as given."""
     sizes = docs.groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("size"))
     targets = source_targets(sizes, weights, share, ceiling).select("source", F.col("rate").alias("_rate"))
-    rated = spread_join(docs, staged(targets, "mix-rates"), ["source"], ["doc_id"])
+    rows = packed(docs).select("_row", F.col("_row.source").alias("source"), F.col("_row.doc_id").alias("doc_id"))
+    rated = spread_join(rows, staged(targets, "mix-rates"), ["source"], ["doc_id"])
     times = F.array_repeat(F.lit(0), copies_of(F.col("doc_id"), F.col("_rate"), seed).cast("int"))
-    return rated.withColumn("_copy", F.explode(times)).select(*docs.columns)
+    return rated.select("_row", F.explode(times)).select("_row.*")
 
 
 def mix_query(docs: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bucketlens.llm.common import packed
 from bucketlens.session import staged
 
 SHARD, SLOT = "shard", "slot"
@@ -52,10 +53,10 @@ def shuffle_into_shards(
     are replaced. Pass narrow rows: texts need not move, they can be joined by ``by``.
     """
     spark = rows.sparkSession
-    given = staged(rows.drop(SHARD, SLOT), "shard-rows")
+    given = staged(packed(rows.drop(SHARD, SLOT)), "shard-rows")
     total = given.count()
     n_blocks = max(MIN_BLOCKS, math.ceil(total / rows_per_block))
-    names = given.columns
+    by = [f"_row.`{c}`" for c in by]
 
     block = F.pmod(F.xxhash64(F.lit(seed), F.lit("block"), *by), F.lit(n_blocks)).alias("_block")
     dealt = given.select("*", block, F.xxhash64(F.lit(seed), F.lit("local"), *by).alias("_order"))
@@ -71,7 +72,7 @@ def shuffle_into_shards(
     n_parts = max(MIN_BLOCKS // n_shards, math.ceil(total / n_shards / rows_per_block), 1)
     part = F.pmod(F.xxhash64(F.lit(seed), F.lit("part"), *by), F.lit(n_parts)).alias("_part")
     order = F.xxhash64(F.lit(seed), F.lit("again"), *by).alias("_order")
-    placed = staged(ranked.select(*names, shard, part, order), "shard-placed")
+    placed = staged(ranked.select("_row", shard, part, order), "shard-placed")
 
     # One row per part of a shard: where the part's slots begin.
     before = Window.partitionBy(SHARD).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -80,7 +81,7 @@ def shuffle_into_shards(
     again = Window.partitionBy(SHARD, "_part").orderBy("_order", *by)
     slotted = placed.withColumn("_rank", F.row_number().over(again)).join(begins, [SHARD, "_part"])
     slot = (F.col("_begin") + F.col("_rank") - 1).cast("bigint").alias(SLOT)
-    return slotted.select(*names, SHARD, slot)
+    return slotted.select("_row.*", SHARD, slot)
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bucketlens.llm.common import same, spread_join
+from bucketlens.llm.common import packed, same, spread_join
 from bucketlens.llm.components import components, local_labels
 from bucketlens.session import staged
 
@@ -197,10 +197,10 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     key = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp"))]
     kept = found.groupBy(*(k.alias(f"_k{i}") for i, k in enumerate(key))).agg(best.alias("_best"))
     kept = kept.select(F.col("_best.doc_id").alias("_b_id"), F.col("_best._text").alias("_b_text")).distinct()
-    given = docs.withColumn("_text", F.xxhash64("text"))
-    joined = given.join(kept, same(given, kept, ["doc_id", "_text"], ["_b_id", "_b_text"]), "left_semi")
+    rows = packed(docs).select("_row", F.col("_row.doc_id").alias("doc_id"), F.xxhash64("_row.text").alias("_text"))
+    joined = rows.join(kept, same(rows, kept, ["doc_id", "_text"], ["_b_id", "_b_text"]), "left_semi")
     nth = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy("_text"))
-    return joined.withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
+    return joined.withColumn("_nth", nth).where("_nth = 1").select("_row.*")
 
 
 def simhash_query(docs: DataFrame) -> DataFrame:
