@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bucketlens.llm.common import BLANKS, packed, same, spread_join
 from bucketlens.llm.repeats import maybe_repeated, repeat_filter
@@ -100,7 +101,7 @@ def kept_lines(text: bytes | None, drop: list[bytes] | None, first: list[bytes]
     return len(lines) - len(kept), b"\n".join(kept)
 
 
-@F.arrow_udf("struct<n_dropped: bigint, kept_sha256: string>")
+@F.arrow_udf(T.StructType().add("n_dropped", T.LongType()).add("kept_sha256", T.StringType()))
 def _digest(text: pa.Array, drop: pa.Array, first: pa.Array) -> pa.Array:
     done = [kept_lines(*row) for row in zip(_texts(text), drop.to_pylist(), first.to_pylist())]
     return pa.StructArray.from_arrays(
@@ -109,7 +110,7 @@ def _digest(text: pa.Array, drop: pa.Array, first: pa.Array) -> pa.Array:
     )
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _kept_text(text: pa.Array, drop: pa.Array, first: pa.Array) -> pa.Array:
     done = [kept_lines(*row) for row in zip(_texts(text), drop.to_pylist(), first.to_pylist())]
     return pa.array([t for _, t in done], pa.binary()).cast(pa.string())

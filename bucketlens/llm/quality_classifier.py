@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bucketlens.llm.common import id_remainder, summed
 from bucketlens.session import staged
@@ -67,7 +68,7 @@ def statistics(text: bytes | None) -> list[float]:
     ]
 
 
-@F.arrow_udf("array<double>")
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
 def _statistics(texts: pa.Array) -> pa.Array:
     return pa.array([statistics(t) for t in texts.cast(pa.binary()).to_pylist()], pa.list_(pa.float64()))
 

@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bucketlens.llm.common import spread_join
 from bucketlens.session import staged
@@ -286,19 +287,22 @@ def kept_bytes(text: bytes | None, spans: list[dict] | None) -> tuple[int, int,
     return removed, runs, b"".join(kept)
 
 
-@F.arrow_udf("struct<n_removed: bigint, n_spans: bigint, kept: binary, kept_sha256: string>")
+_COUNTS = T.StructType().add("n_removed", T.LongType()).add("n_spans", T.LongType())
+
+
+@F.arrow_udf(T.StructType([*_COUNTS, T.StructField("kept", T.BinaryType())]))
 def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
     done = [kept_bytes(*row) for row in zip(texts.cast(pa.binary()).to_pylist(), spans.to_pylist())]
     return pa.StructArray.from_arrays(
         [
             pa.array([d[0] for d in done], pa.int64()), pa.array([d[1] for d in done], pa.int64()),
-            pa.array([d[2] for d in done], pa.binary()), pa.array([hashlib.sha256(d[2]).hexdigest() for d in done], pa.string()),
+            pa.array([d[2] for d in done], pa.binary()),
         ],
-        names=["n_removed", "n_spans", "kept", "kept_sha256"],
+        names=["n_removed", "n_spans", "kept"],
     )
 
 
-@F.arrow_udf("struct<n_removed: bigint, n_spans: bigint, kept_sha256: string>")
+@F.arrow_udf(T.StructType([*_COUNTS, T.StructField("kept_sha256", T.StringType())]))
 def _digest(texts: pa.Array, spans: pa.Array) -> pa.Array:
     done = [kept_bytes(*row) for row in zip(texts.cast(pa.binary()).to_pylist(), spans.to_pylist())]
     return pa.StructArray.from_arrays(
