@@ -102,7 +102,9 @@ def measured(docs: DataFrame) -> DataFrame:
         F.lit(WINDOW).cast("bigint"),
         lambda total, at: total + F.least(F.lit(WINDOW), F.get("places", at) - F.get("places", at - 1)),
     )
-    return places.select(*measures, F.coalesce(F.when(F.size("places") > 1, covered), F.lit(0)).cast("bigint").alias("n_repeat_words"))
+    repeated = F.coalesce(F.when(F.size("places") > 1, covered), F.lit(0)).cast("bigint").alias("n_repeat_words")
+    # Out of a generator, so that a filter on a measure isn't moved below and computes it again.
+    return places.select(F.inline(F.array(F.struct(*measures, repeated))))
 
 
 def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
