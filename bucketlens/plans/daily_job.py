@@ -1,6 +1,6 @@
 """Daily metrics: per day the whole service, every folder, and all downloaded files."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -8,26 +8,23 @@ from bucketlens import schema as S
 from bucketlens.functions import requests as R
 from bucketlens.operators.geo import GeoTable
 from bucketlens.operators.metrics import ADDRESS, KEY, REFERRER
+from bucketlens.operators.periods import window_of
 from bucketlens.operators.prepare import prepare
 from bucketlens.operators.selection import filter_object_requests
 from bucketlens.plans.sections import (
     FOLDER,
-    FOLDER_SCOPE,
-    WHOLE_SCOPE,
     Value,
     count_for_sections,
     locate_counts,
     sum_sections,
 )
+from bucketlens.session import staged
 from bucketlens.sinks.metrics import read_daily_metrics, upsert_daily_metrics
 from bucketlens.sources.log_text import scan_access_log
 
 # Log columns the metrics are made of.
 NEEDED_COLUMNS = ["requestdatetime", "remoteip", "operation", "key", "bytessent", "objectsize", "referrer"]
 
-# A day's document is split into parts of about this many map entries.
-ENTRIES_PER_PART = 100_000
-
 VALUE_METRICS = ["locations", "referrers", "meta_downloads"]
 
 # Long form of the daily metrics; ``folder`` is NULL for the whole service.
@@ -70,104 +67,76 @@ def daily_metrics(prepared: DataFrame, geo: GeoTable) -> DataFrame:
     return daily_metrics_from_counts(count_days(prepared), geo)
 
 
-def daily_metrics_document(rows: DataFrame, entries_per_part: int = ENTRIES_PER_PART) -> DataFrame:
-    """One nested document per day: ``summary``, ``folders``, ``meta_downloads``.
+def daily_summaries(rows: DataFrame) -> DataFrame:
+    """One row per date for the whole service, and one per date and folder.
 
-    The maps of a day have no upper size, so a day with more than
-    ``entries_per_part`` map entries is split into parts (``part`` 0, 1, ...): its
-    metrics stand in every part that names the section, each map entry in exactly
-    one. Most days are a single part.
+    Columns: date, scope, folder (NULL for the whole), and the scalar metrics. The
+    values of a section have no upper number; they stay rows, see ``daily_values``.
     """
-    values = rows.where(F.col("metric").isin(VALUE_METRICS))
-    parts = values.groupBy("date").agg(F.ceil(F.count(F.lit(1)) / entries_per_part).cast("bigint").alias("parts"))
-    part = F.pmod(F.xxhash64("scope", "folder", "metric", "sub_key"), F.col("parts")).alias("part")
-    # One row per day, so never large.
-    spread = values.join(F.broadcast(parts), "date").select(*values.columns, part)
-
-    def entries_of(metric: str) -> Column:
-        pairs = F.collect_list(F.when(F.col("metric") == metric, F.struct(F.col("sub_key"), F.col("value"))))
-        return F.map_from_entries(F.array_sort(pairs)).alias(metric)
-
-    maps = spread.groupBy("date", "part", "scope", "folder").agg(*(entries_of(m) for m in VALUE_METRICS))
-    scalars = rows.where(~F.col("metric").isin(VALUE_METRICS)).groupBy("date", "scope", "folder").agg(
-        *(F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in S.DAILY_METRICS)
-    )
-    whole_scalars = scalars.where(F.col("scope") == WHOLE_SCOPE).select("date", *S.DAILY_METRICS)
-    folder_scalars = scalars.where(F.col("scope") == FOLDER_SCOPE).drop("scope")
-    stats = F.struct(*S.DAILY_METRICS, "locations", "referrers")
-
-    folder_pair = F.struct(F.col("folder"), stats.alias("stats"))
-    folders = (
-        maps.where(F.col("scope") == FOLDER_SCOPE)
-        .join(folder_scalars, ["date", "folder"])
-        .groupBy("date", "part")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(folder_pair), _by_folder)).alias("folders"))
-    )
-    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
-    whole = maps.where(F.col("scope") == WHOLE_SCOPE).drop("scope", "folder")
-    return (
-        whole.join(folders, ["date", "part"], "full")
-        .withColumns({m: F.coalesce(m, none) for m in VALUE_METRICS})
-        .join(F.broadcast(whole_scalars), "date")
-        .select(
-            "date",
-            "part",
-            stats.alias("summary"),
-            "folders",
-            "meta_downloads",
-        )
-    )
+    plain = rows.where(~F.col("metric").isin(VALUE_METRICS))
+    metrics = (F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in S.DAILY_METRICS)
+    return plain.groupBy("date", "scope", "folder").agg(*metrics)
 
 
-def _by_folder(a: Column, b: Column) -> Column:
-    return F.when(a["folder"] < b["folder"], -1).when(a["folder"] > b["folder"], 1).otherwise(0)
+def daily_values(rows: DataFrame) -> DataFrame:
+    """One row per date, section, metric and value: locations, referrers, downloaded files."""
+    return rows.where(F.col("metric").isin(VALUE_METRICS))
 
 
-def document_rows(documents: DataFrame) -> DataFrame:
-    """Documents back in long form, each metric and map entry once."""
+def document_rows(summaries: DataFrame, values: DataFrame) -> DataFrame:
+    """Both back in long form, each metric and value once."""
+    entries = F.array(*(F.struct(F.lit(m).alias("metric"), F.lit(None).cast("string").alias("sub_key"), F.col(m).alias("value")) for m in S.DAILY_METRICS))
+    return summaries.select("date", "scope", "folder", F.inline(entries)).unionByName(values.select(*DAILY_ROWS_SCHEMA.names))
 
-    def scalar_rows(stats: Column) -> Column:
-        return F.array(
-            *(
-                F.struct(F.lit(m).alias("metric"), F.lit(None).cast("string").alias("sub_key"), stats[m].alias("value"))
-                for m in S.DAILY_METRICS
-            )
-        )
 
-    def value_rows(metric: str, entries: Column) -> Column:
-        return F.transform(
-            F.map_entries(entries),
-            lambda e: F.struct(F.lit(metric).alias("metric"), e["key"].alias("sub_key"), e["value"].alias("value")),
-        )
+def store_days(rows: DataFrame, out: str) -> None:
+    """Insert or replace the days' summaries and values."""
+    upsert_daily_metrics(daily_values(rows), f"{out}/values")
+    upsert_daily_metrics(daily_summaries(rows), f"{out}/summaries")
 
-    def stats_rows(stats: Column) -> Column:
-        return F.concat(
-            scalar_rows(stats),
-            value_rows("locations", stats["locations"]),
-            value_rows("referrers", stats["referrers"]),
-        )
 
-    whole = documents.select(
-        "date",
-        F.lit(WHOLE_SCOPE).alias("scope"),
-        F.lit(None).cast("string").alias("folder"),
-        F.inline(F.concat(stats_rows(F.col("summary")), value_rows("meta_downloads", F.col("meta_downloads")))),
-    )
-    folders = documents.select("date", F.explode("folders").alias("folder", "stats")).select(
-        "date", F.lit(FOLDER_SCOPE).alias("scope"), "folder", F.inline(stats_rows(F.col("stats")))
-    )
-    return whole.unionByName(folders).distinct()
+def read_summaries(spark: SparkSession, out: str) -> DataFrame:
+    kinds = {"date": T.DateType(), "scope": T.StringType(), "folder": T.StringType()}
+    schema = T.StructType([T.StructField(c, kinds.get(c, T.LongType())) for c in [*kinds, *S.DAILY_METRICS]])
+    return read_daily_metrics(spark, f"{out}/summaries", schema)
+
+
+def read_days(spark: SparkSession, out: str) -> DataFrame:
+    """The stored days in long form."""
+    return document_rows(read_summaries(spark, out), read_daily_metrics(spark, f"{out}/values", DAILY_ROWS_SCHEMA))
 
 
 def daily_job(
-    spark: SparkSession, logs: DataFrame, geo: GeoTable, out: str, lenient: bool = False
+    spark: SparkSession, logs: DataFrame, geo: GeoTable, out: str, lenient: bool = False, bad_times: Observation | None = None
 ) -> DataFrame:
-    """Compute the daily metrics of ``logs`` and store them by date; gives back the store."""
-    rows = daily_metrics(prepare(filter_object_requests(logs), lenient=lenient), geo)
-    upsert_daily_metrics(rows, out)
-    return read_daily_metrics(spark, out, DAILY_ROWS_SCHEMA)
+    """Compute the daily metrics of ``logs`` and store them by date; gives back the store.
 
+    A request time that doesn't parse fails the job before anything is stored, unless
+    ``lenient``; ``bad_times`` counts such rows.
+    """
+    rows = daily_metrics(prepare(filter_object_requests(logs), lenient=lenient, bad_times=bad_times), geo)
+    # Stored in two shapes, computed once.
+    computed = staged(rows, "daily-rows")
+    store_days(computed, out)
+    return read_days(spark, out)
+
+
+def run_daily_job(
+    spark: SparkSession,
+    base: str,
+    start: str | None,
+    end: str | None,
+    geo: GeoTable,
+    out: str,
+    frequency: str | None = None,
+    custom: tuple[str, str] | None = None,
+    bad_times: Observation | None = None,
+) -> DataFrame:
+    """The daily job on the log directories of a window.
 
-def run_daily_job(spark: SparkSession, base: str, start: str, end: str, geo: GeoTable, out: str) -> DataFrame:
-    """The daily job on the log directories of a window."""
-    return daily_job(spark, scan_access_log(spark, base, start, end, NEEDED_COLUMNS), geo, out)
+    Without ``start`` and ``end`` (``yyyy/MM/dd``) the window follows from ``frequency``
+    or ``custom``, as in ``window_of``.
+    """
+    if start is None or end is None:
+        start, end = window_of(frequency, custom=custom)
+    return daily_job(spark, scan_access_log(spark, base, start, end, NEEDED_COLUMNS), geo, out, bad_times=bad_times)

@@ -1,6 +1,6 @@
 """The usage report of a window: sections, rankings, sentences, trend, extracts."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from bucketlens import schema as S
@@ -8,7 +8,7 @@ from bucketlens.functions import requests as R
 from bucketlens.functions.text import grouped_digits, size_text
 from bucketlens.operators.geo import GeoTable
 from bucketlens.operators.metrics import ADDRESS, KEY, REFERRER, SUMMARY_METRICS, request_time_span
-from bucketlens.operators.periods import usage_trend
+from bucketlens.operators.periods import usage_trend, window_of
 from bucketlens.operators.prepare import prepare
 from bucketlens.operators.ranking import rank_within, rankings_differ
 from bucketlens.operators.selection import logs_in_period
@@ -77,7 +77,8 @@ def top_of_sections(counts: DataFrame) -> DataFrame:
 
 def interaction_differs(prepared: DataFrame, geo: GeoTable) -> DataFrame:
     """Per section and dimension: does the ranking by interaction differ from that by download?"""
-    return _differs(top_of_sections(section_counts(prepared, geo, interactions=True)))
+    # Read twice, so counted and ranked once, into a small table.
+    return _differs(staged(top_of_sections(section_counts(prepared, geo, interactions=True)), "interaction-rankings"))
 
 
 def _differs(top: DataFrame) -> DataFrame:
@@ -115,11 +116,12 @@ def section_summaries(top: DataFrame) -> DataFrame:
 def overall_document(top: DataFrame, start: str, end: str) -> DataFrame:
     """The whole service's metrics of a window as one row, rankings as maps.
 
-    ``period_start`` and ``period_end`` name the window; an empty window gives no row.
+    ``period_start`` and ``period_end`` name the window; one without logs has counts of
+    0 and empty rankings.
     """
 
     def plain(metric: str) -> Column:
-        value = F.max(F.when((F.col("metric") == metric) & F.col("sub_key").isNull(), F.col("n")))
+        value = F.coalesce(F.max(F.when((F.col("metric") == metric) & F.col("sub_key").isNull(), F.col("n"))), F.lit(0))
         return (size_text(value) if metric in SIZE_METRICS else value).alias(S.REPORT_METRICS[metric])
 
     def ranking(dimension: str) -> Column:
@@ -128,9 +130,8 @@ def overall_document(top: DataFrame, start: str, end: str) -> DataFrame:
         return F.map_from_entries(pairs).alias(S.DOWNLOAD_RANKINGS[dimension])
 
     metrics = [*map(plain, S.REPORT_METRICS), *map(ranking, ("file", "location", "referrer"))]
-    return top.where(F.col("scope") == WHOLE_SCOPE).groupBy(
-        F.to_date(F.lit(start), S.DAY_FORMAT).alias("period_start"), F.to_date(F.lit(end), S.DAY_FORMAT).alias("period_end")
-    ).agg(*metrics)
+    period = [F.to_date(F.lit(day), S.DAY_FORMAT).alias(name) for name, day in (("period_start", start), ("period_end", end))]
+    return top.where(F.col("scope") == WHOLE_SCOPE).agg(*metrics).select(*period, "*")
 
 
 def _metric_name() -> Column:
@@ -152,16 +153,12 @@ def summary_sentences(summaries: DataFrame, section: str = "section") -> DataFra
         return grouped_digits(F.col(name))
 
     sentence = F.concat(
-        F.lit("Throughout this period, "), F.col(section),
-        F.lit(" received "), count("interactions_count"),
-        F.lit(" interactions from "), count("unique_users"),
-        F.lit(" unique users, of whom "), count("unique_users_by_download"),
-        F.lit(" downloaded "), count("unique_downloads"),
-        F.lit(" files "), count("downloads_count"),
-        F.lit(" times, amounting to "), size_text(F.col("download_size")),
-        F.lit(" of data. "), count("uploads_count"),
-        F.lit(" files were updated, adding up to "), size_text(F.col("upload_size")),
-        F.lit(" of content."),
+        F.col(section), F.lit(": "),
+        count("unique_users"), F.lit(" users ("), count("unique_users_by_download"), F.lit(" with downloads); "),
+        F.lit("downloads: "), size_text(F.col("download_size")), F.lit(" in "), count("downloads_count"),
+        F.lit(" requests for "), count("unique_downloads"), F.lit(" files; "),
+        F.lit("uploads: "), size_text(F.col("upload_size")), F.lit(" in "), count("uploads_count"), F.lit(" files; "),
+        F.lit("all interactions: "), count("interactions_count"), F.lit("."),
     )
     return summaries.select(section, sentence.alias("sentence"))
 
@@ -169,19 +166,28 @@ def summary_sentences(summaries: DataFrame, section: str = "section") -> DataFra
 def usage_report(
     spark: SparkSession,
     base: str,
-    start: str,
-    end: str,
+    start: str | None,
+    end: str | None,
     geo: GeoTable,
     results: str,
     select_all: bool = False,
     interactions: bool = False,
+    frequency: str | None = None,
+    custom: tuple[str, str] | None = None,
+    bad_times: Observation | None = None,
 ) -> dict[str, DataFrame]:
     """Report on the log directories of a window.
 
+    Without ``start`` and ``end`` (``yyyy/MM/dd``) the window follows from ``frequency``
+    or ``custom``, as in ``window_of``. A request time that doesn't parse fails the
+    report; with ``bad_times`` given, it is NULL and counted there as ``bad_times``.
+
     Writes the extract (parquet, gzipped CSV) and the window's overall metrics
     under ``results``. Everything after the extract reads the extract, and it is read
     once for all metrics, rankings and sentences.
     """
+    if start is None or end is None:
+        start, end = window_of(frequency, custom=custom)
     columns = None if select_all else S.USAGE_COLUMNS
     scanned = scan_access_log(spark, base, start, end, columns)
     extract = logs_in_period(scanned, start, end, select_all)
@@ -189,7 +195,7 @@ def usage_report(
     logs = spark.read.schema(extract.schema).parquet(path)
     export_csv_gz(logs, f"{results}/extracts", start, end)
 
-    prepared = prepare(logs)
+    prepared = prepare(logs, bad_times=bad_times)
     # A few rows per section, read by all that follows.
     top = staged(top_of_sections(section_counts(prepared, geo, interactions)), "report-sections")
     current = overall_document(top, start, end)
@@ -199,5 +205,5 @@ def usage_report(
         "rows": report_rows(top, interactions),
         "sentences": summary_sentences(section_summaries(top)),
         "trend": usage_trend(current, load_metrics_history(spark, history_path)),
-        "span": request_time_span(prepared),
+        "span": request_time_span(prepare(logs, lenient=bad_times is not None)),
     }

@@ -2,10 +2,14 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bucketlens import schema as S
 from bucketlens.functions import requests as R
 
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+EMPTY_SIGN = "\u0001"
+
 
 def write_query_result(df: DataFrame, path: str, compression: str = "gzip") -> DataFrame:
     """Materialize a query as parquet in a folder that must not exist; gives it back."""
@@ -15,7 +19,8 @@ def write_query_result(df: DataFrame, path: str, compression: str = "gzip") -> D
 
 def write_manifest(spark: SparkSession, path: str, manifest: str) -> None:
     """List the data files of a stored result, one path per line."""
-    files = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("value")).distinct()
+    # The listing has the names; no row is read.
+    files = spark.createDataFrame([(name,) for name in spark.read.parquet(path).inputFiles()], "value STRING")
     files.write.mode("errorifexists").text(manifest)
 
 
@@ -31,20 +36,21 @@ def export_parquet(df: DataFrame, base: str, start: str, end: str) -> str:
 
 
 def export_csv_gz(df: DataFrame, base: str, start: str, end: str) -> str:
-    """Gzipped CSV with header; quotes inside a value are doubled."""
+    """Gzipped CSV with header; quotes inside a value are doubled.
+
+    Values stay as they are, blanks at their ends included. NULL is written as
+    nothing, empty text as two quotes.
+    """
     path = extract_path(base, start, end, "csv.gz")
-    (
-        df.write.mode("overwrite")
-        .option("header", True)
-        .option("compression", "gzip")
-        .option("escape", '"')
-        .csv(path)
-    )
+    df.write.mode("overwrite").option("compression", "gzip").options(**CSV).csv(path)
     return path
 
 
-def read_csv_gz(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+def read_csv_gz(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    # The reader takes empty text and nothing for the same, unless empty text has a sign of its own.
+    stored = spark.read.schema(schema).options(**CSV).option("emptyValue", EMPTY_SIGN).csv(path)
+    texts = [f.name for f in schema if f.dataType == T.StringType()]
+    return stored.withColumns({c: F.when(F.col(f"`{c}`") == EMPTY_SIGN, "").otherwise(F.col(f"`{c}`")) for c in texts})
 
 
 def merge_yearly_extract(df: DataFrame, path: str) -> None:

@@ -18,10 +18,10 @@ def read_daily_metrics(spark: SparkSession, path: str, schema: T.StructType) ->
     return read_if_stored(spark, path, schema).select(*schema.names)
 
 
-def as_json_documents(documents: DataFrame) -> DataFrame:
-    """Nested documents as text: ``date``, ``part`` and three JSON columns."""
-    texts = [F.to_json(c).alias(c) for c in ("summary", "folders", "meta_downloads")]
-    return documents.select("date", "part", *texts)
+def as_json_documents(summaries: DataFrame) -> DataFrame:
+    """Scalar metrics as JSON text: one row per date and section."""
+    metrics = [c for c in summaries.columns if c not in ("date", "scope", "folder")]
+    return summaries.select("date", "scope", "folder", F.to_json(F.struct(*metrics)).alias("summary"))
 
 
 def write_period_metrics(metrics: DataFrame, path: str) -> None:

@@ -1,15 +1,17 @@
 """Daily metrics kept up to date from newly arrived log files.
 
 Distinct counts of separate batches do not add up, but counts per distinct value
-do. Each batch therefore stores its counts per day and value; the days it
-touched are then recomputed from the stored counts, which are far fewer than the
-requests. Late files are no special case: they touch an older day.
+do. Each batch stores its counts per day and value. When the run's batches are
+stored, every day they touched is put together once: its counts so far and the new
+ones make the day's next generation, from which its metrics are computed. A late
+file, however old, touches an older day and is no special case.
 """
 
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bucketlens import schema as S
 from bucketlens.functions import requests as R
@@ -19,17 +21,21 @@ from bucketlens.operators.prepare import prepare
 from bucketlens.operators.selection import filter_object_requests
 from bucketlens.plans.daily_job import DAILY_ROWS_SCHEMA, NEEDED_COLUMNS, count_days, daily_metrics_from_counts
 from bucketlens.plans.sections import grouping_sets
+from bucketlens.session import remove, staged
 from bucketlens.sinks.extracts import replace_partitions
 from bucketlens.sinks.metrics import read_daily_metrics, upsert_daily_metrics
 from bucketlens.sources.log_text import DAY_IN_PATH, parse_access_log
+from bucketlens.sources.results import read_if_stored
 
 # Days are directories base/yyyy/MM/dd.
 ALL_DAYS = "[0-9][0-9][0-9][0-9]/[0-1][0-9]/[0-3][0-9]"
+# The file source passes over files this much older than the newest one it has seen.
+NEVER_TOO_OLD = "36500d"
 
 
 def stream_log_lines(spark: SparkSession, base: str, max_files: int | None = None) -> DataFrame:
     """New lines of the day directories, with the day read off the path."""
-    reader = spark.readStream
+    reader = spark.readStream.option("maxFileAge", NEVER_TOO_OLD)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     lines = reader.text(f"{base.rstrip('/')}/{ALL_DAYS}")
@@ -37,28 +43,56 @@ def stream_log_lines(spark: SparkSession, base: str, max_files: int | None = Non
     return lines.select("value", day.alias(S.PARTITION_COLUMN))
 
 
-def process_batch(lines: DataFrame, batch_id: int, geo: GeoTable, state: str, lenient: bool = False) -> None:
-    """Store the counts of one batch, then recompute the days it touched.
+def store_batch(lines: DataFrame, batch_id: int, state: str, lenient: bool = False) -> None:
+    """Store the counts of one batch per day.
 
     Partitions are replaced, never appended to, so a batch that runs again after a
     failure leaves the same result.
     """
-    counts_path = f"{state}/counts"
     logs = parse_access_log(lines, NEEDED_COLUMNS)
     counted = count_days(prepare(filter_object_requests(logs), lenient=lenient))
-    dated = counted.withColumns({"date": R.partition_day(F.col("day")), "batch_id": F.lit(batch_id).cast("bigint")})
-    replace_partitions(dated, counts_path, ["date", "batch_id"])
-
-    stored = lines.sparkSession.read.schema(dated.schema).parquet(counts_path)
-    # One value per day directory the batch read from.
-    of_batch = stored.where(F.col("batch_id") == batch_id)
-    touched = [row.date for row in of_batch.select("date").distinct().collect()]
-    merged = (
-        stored.where(F.col("date").isin(touched))
-        .groupBy(*set_columns(grouping_sets(["day"])), "grouping")
-        .agg(*(F.sum(m).alias(m) for m in MEASURES))
-    )
-    upsert_daily_metrics(daily_metrics_from_counts(merged, geo), f"{state}/metrics")
+    dated = counted.withColumns({"date": R.partition_day(F.col("day")), "generation": F.lit(batch_id).cast("bigint")})
+    replace_partitions(dated, f"{state}/batches", ["date", "generation"])
+
+
+def _counts_schema() -> T.StructType:
+    """What ``store_batch`` stores: the grouping columns, their marker, the measures, two partitions."""
+    texts = [T.StructField(c, T.StringType()) for c in set_columns(grouping_sets(["day"]))]
+    numbers = [T.StructField(c, T.LongType()) for c in ["grouping", *MEASURES]]
+    return T.StructType([*texts, *numbers, T.StructField("date", T.DateType()), T.StructField("generation", T.LongType())])
+
+
+def merge_batches(spark: SparkSession, geo: GeoTable, state: str) -> None:
+    """Put the touched days together and compute their metrics.
+
+    A day's generation is the number of the last batch it holds. What it doesn't hold
+    yet is added to it, so running again after a failure adds nothing twice: metrics
+    are stored first, then the generation, and only then older ones are removed.
+    """
+    schema = _counts_schema()
+    batches = read_if_stored(spark, f"{state}/batches", schema)
+    counts = read_if_stored(spark, f"{state}/counts", schema)
+    # One row per stored day and per day and batch: the names of the partitions.
+    held = {r[0]: r[1] for r in counts.groupBy("date").agg(F.max("generation")).collect()}
+    new = [r for r in batches.select("date", "generation").distinct().collect() if r.generation > held.get(r.date, -1)]
+    if new:
+        days = sorted({r.date for r in new})
+        last = F.create_map(*(F.lit(x) for day in days for x in (day, held.get(day, -1))))
+        of_days = [df.where(F.col("date").isin(days)) for df in (counts, batches)]
+        kept = of_days[0].where(F.col("generation") == last[F.col("date")])
+        added = of_days[1].where(F.col("generation") > last[F.col("date")])
+        columns = [*set_columns(grouping_sets(["day"])), "grouping"]
+        merged = staged(
+            kept.unionByName(added).groupBy("date", *columns).agg(*(F.sum(m).alias(m) for m in MEASURES)), "merged-counts"
+        )
+        upsert_daily_metrics(daily_metrics_from_counts(merged.drop("date"), geo), f"{state}/metrics")
+        newest = max(r.generation for r in new)
+        replace_partitions(merged.withColumn("generation", F.lit(newest).cast("bigint")), f"{state}/counts", ["date", "generation"])
+        for day in days:
+            if day in held and held[day] != newest:
+                remove(spark, f"{state}/counts/date={day}/generation={held[day]}")
+        remove(spark, merged.inputFiles()[0].rsplit("/", 1)[0])
+    remove(spark, f"{state}/batches")
 
 
 def run_incremental(
@@ -66,15 +100,15 @@ def run_incremental(
 ) -> DataFrame:
     """Process the files not seen before and stop; gives back the stored daily metrics.
 
-    ``state`` holds the stream's checkpoint, the counts of every batch and the
-    metrics.
+    ``state`` holds the stream's checkpoint, the counts of every day and the metrics.
     """
     query = (
         stream_log_lines(spark, base, max_files)
-        .writeStream.foreachBatch(partial(process_batch, geo=geo, state=state, lenient=lenient))
+        .writeStream.foreachBatch(partial(store_batch, state=state, lenient=lenient))
         .option("checkpointLocation", f"{state}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    merge_batches(spark, geo, state)
     return read_daily_metrics(spark, f"{state}/metrics", DAILY_ROWS_SCHEMA)

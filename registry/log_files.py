@@ -9,14 +9,14 @@ from bucketlens.session import work_dir
 from bucketlens.sources.log_text import render_access_log
 
 
-def write_log_tree(logs: DataFrame) -> str:
-    """Write requests as text under ``base/yyyy/MM/dd``, all days in one job.
+def write_log_tree(logs: DataFrame, base: str | None = None) -> str:
+    """Add requests as text under ``base/yyyy/MM/dd``, all days in one job.
 
     A catalog table with one location per day does the routing; the table is
     dropped again, its files stay.
     """
     spark = logs.sparkSession
-    base = work_dir(spark, "logs")
+    base = base or work_dir(spark, "logs")
     table = f"log_tree_{uuid.uuid4().hex}"
     column = f"`{S.PARTITION_COLUMN}`"
     lines = render_access_log(logs)

@@ -12,7 +12,7 @@ from bucketlens.operators import metrics as M
 from bucketlens.operators import periods as P
 from bucketlens.operators import ranking as K
 from bucketlens.operators import selection as Q
-from bucketlens.operators.geo import with_country
+from bucketlens.operators.geo import resolve_addresses, with_country
 from bucketlens.operators.locations import location_histogram
 from bucketlens.operators.prepare import derive_key_components, exclude_meta_files
 from bucketlens.plans import daily_job as D
@@ -44,6 +44,10 @@ def window_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.logs_in_period(access_log(spark, sf_dir), WINDOW_START, WINDOW_END)
 
 
+def usage_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.select_usage_columns(access_log(spark, sf_dir))
+
+
 def request_text(df: DataFrame) -> DataFrame:
     """Request time as text, for comparing."""
     return df.withColumn("request_ts", F.date_format("request_ts", "yyyy-MM-dd HH:mm:ss"))
@@ -71,14 +75,14 @@ def scan_day_partitions(spark, sf_dir):
 
 def read_result_files(spark, sf_dir):
     path, manifest = work_dir(spark, "result"), work_dir(spark, "manifest")
-    stored = X.write_query_result(window_logs(spark, sf_dir), path)
+    stored = X.write_query_result(usage_logs(spark, sf_dir), path)
     X.write_manifest(spark, path, manifest)
     return SR.read_files(spark, manifest, stored.schema)
 
 
 def register_result_table(spark, sf_dir):
     path = work_dir(spark, "result")
-    X.write_query_result(window_logs(spark, sf_dir), path)
+    X.write_query_result(usage_logs(spark, sf_dir), path)
     SR.register_result(spark, path, "logs")
     return spark.sql("SELECT * FROM logs")
 
@@ -190,8 +194,8 @@ def prepare_logs(spark, sf_dir):
 
 def geo_range_join(spark, sf_dir):
     """Every user's address, with the ranges of all nations."""
-    users = access_log(spark, sf_dir).select("remoteip")
-    return with_country(users, geo(spark, sf_dir)).groupBy("remoteip", "country").agg(F.count(F.lit(1)).alias("requests"))
+    users = access_log(spark, sf_dir).groupBy("remoteip").agg(F.count(F.lit(1)).alias("requests"))
+    return resolve_addresses(users, geo(spark, sf_dir), ["remoteip"], F.col("remoteip"))
 
 
 def history_join(spark, sf_dir):
@@ -242,9 +246,8 @@ def daily_downloads_by_file(spark, sf_dir):
 
 
 def daily_metrics_document(spark, sf_dir):
-    rows = D.daily_metrics(prepared(spark, sf_dir), geo(spark, sf_dir))
-    documents = D.daily_metrics_document(staged(rows, "daily-rows"))
-    return _dates_as_text(D.document_rows(documents))
+    rows = staged(D.daily_metrics(prepared(spark, sf_dir), geo(spark, sf_dir)), "daily-rows")
+    return _dates_as_text(D.document_rows(D.daily_summaries(rows), D.daily_values(rows)))
 
 
 def request_time_span(spark, sf_dir):
@@ -313,7 +316,7 @@ def usage_trend(spark, sf_dir):
 
 
 def write_query_result(spark, sf_dir):
-    return X.write_query_result(window_logs(spark, sf_dir), work_dir(spark, "result"))
+    return X.write_query_result(usage_logs(spark, sf_dir), work_dir(spark, "result"))
 
 
 def export_parquet(spark, sf_dir):
@@ -372,8 +375,12 @@ def yearly_extract(spark, sf_dir):
 
 
 def incremental_daily_metrics(spark, sf_dir):
-    base = log_files.write_log_tree(access_log(spark, sf_dir))
-    store = I.run_incremental(spark, base, geo(spark, sf_dir), work_dir(spark, "incremental"))
+    """Two runs: half of the requests' files, then the other half, which touches the same days."""
+    logs, base, state = access_log(spark, sf_dir), work_dir(spark, "logs"), work_dir(spark, "incremental")
+    number = F.substring("requestid", 2, 20).cast("bigint")
+    for half in (0, 1):
+        log_files.write_log_tree(logs.where(F.pmod(number, F.lit(2)) == half), base)
+        store = I.run_incremental(spark, base, geo(spark, sf_dir), state)
     return _dates_as_text(store)
 
 

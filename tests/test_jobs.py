@@ -1,7 +1,9 @@
 import json
+import os
 from datetime import date
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from bucketlens.operators.metrics import SUMMARY_METRICS, summarize
@@ -50,26 +52,69 @@ def test_daily_metrics_scan_the_requests_once(prepared, geo):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-@pytest.mark.parametrize("entries_per_part", [100_000, 7, 1])
-def test_documents_hold_every_entry_once(daily_rows, entries_per_part):
-    documents = staged(D.daily_metrics_document(daily_rows, entries_per_part), "test-documents")
-    assert rows(D.document_rows(documents)) == rows(daily_rows)
-    per_day = documents.groupBy("date").count()
-    assert (per_day.where("count > 1").count() > 0) == (entries_per_part < 100_000)
-    entries = documents.select(F.posexplode("meta_downloads"), "date")
-    assert entries.count() == entries.select("date", "key").distinct().count()
+def test_documents_hold_every_entry_once(daily_rows):
+    summaries, entries = D.daily_summaries(daily_rows), D.daily_values(daily_rows)
+    assert rows(D.document_rows(summaries, entries)) == rows(daily_rows)
+    assert summaries.count() == summaries.select("date", "scope", "folder").distinct().count()
+    keys = ["date", "scope", "folder", "metric", "sub_key"]
+    assert entries.count() == entries.select(*keys).distinct().count()
+    whole = summaries.where("scope = 'whole'")
+    assert whole.count() == daily_rows.select("date").distinct().count()
 
 
 def test_document_as_json(daily_rows):
-    documents = W.as_json_documents(D.daily_metrics_document(daily_rows))
-    first = documents.orderBy("date").first()
-    summary = json.loads(first.summary)
-    assert set(summary) == {
-        "interactions_count", "downloads_count", "unique_downloads", "uploads_count", "download_size", "upload_size",
-        "unique_users", "locations", "referrers",
-    }
-    assert all(set(stats) == set(summary) for stats in json.loads(first.folders).values())
-    assert all(isinstance(n, int) for n in json.loads(first.meta_downloads).values())
+    documents = W.as_json_documents(D.daily_summaries(daily_rows))
+    for row in documents.collect():
+        summary = json.loads(row.summary)
+        assert set(summary) == {
+            "interactions_count", "downloads_count", "unique_downloads", "uploads_count", "download_size", "upload_size",
+            "unique_users",
+        }
+        assert all(isinstance(n, int) for n in summary.values())
+
+
+@pytest.fixture(scope="module")
+def spoiled(logs):
+    return logs.withColumn("requestdatetime", F.when(F.col("requestid") == "R3", "not a time").otherwise(F.col("requestdatetime")))
+
+
+def test_a_bad_request_time_fails_the_jobs(spark, spoiled, geo):
+    out = work_dir(spark, "test-daily")
+    with pytest.raises(Exception, match="no request time"):
+        D.daily_job(spark, spoiled, geo, out)
+    tree = write_log_tree(spoiled)
+    with pytest.raises(Exception, match="no request time"):
+        U.usage_report(spark, tree, "2024/01/01", "2024/01/30", geo, work_dir(spark, "test-report"))
+    with pytest.raises(Exception, match="no request time"):
+        I.run_incremental(spark, tree, geo, work_dir(spark, "test-inc"))
+
+
+def test_bad_request_times_are_counted(spark, spoiled, geo, daily_rows):
+    bad = Observation()
+    assert rows(D.daily_job(spark, spoiled, geo, work_dir(spark, "test-daily"), bad_times=bad)) == rows(daily_rows)
+    assert bad.get == {"bad_times": 1}
+    stored = I.run_incremental(spark, write_log_tree(spoiled), geo, work_dir(spark, "test-inc"), lenient=True)
+    assert rows(stored) == rows(daily_rows)
+
+
+def test_jobs_by_frequency(spark, log_tree, geo, daily_rows):
+    out = work_dir(spark, "test-daily")
+    stored = D.run_daily_job(spark, log_tree, None, None, geo, out, custom=("2024-01-05", "2024-01-06"))
+    assert rows(stored) == rows(daily_rows.where("date IN ('2024-01-05', '2024-01-06')"))
+    assert D.run_daily_job(spark, log_tree, None, None, geo, work_dir(spark, "test-daily"), frequency="daily").count() == 0
+
+
+def test_interaction_differs_counts_once(prepared, geo):
+    plan = physical_plan(U.interaction_differs(prepared, geo))
+    assert "Expand" not in plan and "remoteip" not in plan
+
+
+def test_csv_keeps_values(spark, tmp_path):
+    values_ = [" a ", "", None, 'q"uote', "a,b", "line\nbreak", "\\", "  ", "\ttab"]
+    given = spark.createDataFrame([(v, n) for n, v in enumerate(values_)], "a string, b bigint")
+    path = X.export_csv_gz(given.coalesce(1), str(tmp_path), "2024/01/01", "2024/01/02")
+    single = given.where("a IS NULL OR a NOT LIKE '%\n%'")
+    assert rows(X.read_csv_gz(spark, path, given.schema).where("b <> 5")) == rows(single)
 
 
 def test_upsert_replaces_its_dates_and_no_others(spark):
@@ -102,6 +147,7 @@ def test_incremental_equals_batch(spark, log_tree, geo, daily_rows):
 def test_late_files_and_second_runs(spark, logs, geo, daily_rows, tmp_path):
     """Half of every day's requests arrive after the first run."""
     base, state = str(tmp_path / "logs"), work_dir(spark, "test-inc")
+    long_ago = 1_000_000_000
     number = F.substring("requestid", 2, 20).cast("bigint")
     for half in (0, 1):
         tree = write_log_tree(logs.where(number % 2 == half))
@@ -111,6 +157,8 @@ def test_late_files_and_second_runs(spark, logs, geo, daily_rows, tmp_path):
             target = tmp_path.joinpath("logs", *day)
             target.mkdir(parents=True, exist_ok=True)
             (target / f"{half}-{name}").write_text(open(source).read())
+            if half and day[-1] != "05":
+                os.utime(target / f"{half}-{name}", (long_ago, long_ago))
         stored = I.run_incremental(spark, base, geo, state)
     assert rows(stored) == rows(daily_rows)
     assert rows(I.run_incremental(spark, base, geo, state)) == rows(daily_rows)
@@ -120,7 +168,10 @@ def test_batch_that_runs_again(spark, logs, geo, daily_rows, log_tree):
     state = work_dir(spark, "test-inc")
     lines = spark.read.text(f"{log_tree}/*/*/*").select("value", F.regexp_extract("_metadata.file_path", I.DAY_IN_PATH, 1).alias("timestamp"))
     for _ in range(2):
-        I.process_batch(lines, 0, geo, state)
+        I.store_batch(lines, 0, state)
+    I.merge_batches(spark, geo, state)
+    I.store_batch(lines, 0, state)
+    I.merge_batches(spark, geo, state)
     assert rows(W.read_daily_metrics(spark, f"{state}/metrics", D.DAILY_ROWS_SCHEMA)) == rows(daily_rows)
 
 
@@ -163,8 +214,11 @@ def test_period_document(spark, prepared, geo):
 
 def test_usage_report_of_a_window_without_logs(spark, log_tree, geo):
     report = U.usage_report(spark, log_tree, "2030/01/01", "2030/01/31", geo, work_dir(spark, "test-report"))
-    assert report["rows"].count() == 0
+    assert set(values(report["rows"], "section")) <= {"overall"}
     assert rows(report["span"]) == [(None, None)]
+    assert [(r.age, r.total_files_downloads_count) for r in report["trend"].orderBy("age").collect()] == [
+        (0, 0), *((age, None) for age in range(1, 6))
+    ]
 
 
 def test_trend_uses_stored_periods(spark, log_tree, geo):
