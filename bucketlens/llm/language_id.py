@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from bucketlens.llm.common import id_remainder, packed, summed
 BITS = 14
 UNKNOWN = "und"
 # Rows sampled per language for the weights (expected number; hash-selected).
-SAMPLE_PER_LANGUAGE = 1_500
+SAMPLE_PER_LANGUAGE = 1_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.001
 # Every fifth sampled row fits the temperature.
@@ -112,17 +113,21 @@ def train(learnable: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE)
             )
 
     sampled = rows.withColumn("u", uniform).where(F.col("u") < share).select("u", "text", "lang")
+    # The sample's size is bounded; as arrays it takes a few kilobytes a row.
     given = sampled.mapInArrow(features, "u DOUBLE, lang STRING, at ARRAY<INT>, value ARRAY<FLOAT>").toArrow()
-    given = given.sort_by([("u", "ascending"), ("lang", "ascending")]).to_pylist()
-    given = [r for r in given if r["at"]]
-    if not given:
+    given = given.sort_by([("u", "ascending"), ("lang", "ascending")]).combine_chunks()
+    given = given.filter(pc.greater(pc.list_value_length(given["at"]), 0)).combine_chunks()
+    if not given.num_rows:
         return None
-    languages = sorted({r["lang"] for r in given})
-    classes = np.array([languages.index(r["lang"]) for r in given])
-    vectors = [(np.array(r["at"]), np.array(r["value"], dtype=float)) for r in given]
+    named = given["lang"].to_pylist()
+    languages = sorted(set(named))
+    classes = np.array([languages.index(lang) for lang in named])
+    ends = np.cumsum(pc.list_value_length(given["at"]).to_numpy())
+    flat = [pc.list_flatten(given[c]).to_numpy() for c in ("at", "value")]
+    vectors = [(flat[0][e - n : e], flat[1][e - n : e].astype(float)) for e, n in zip(ends, np.diff(ends, prepend=0))]
     # The sample's order is random; within it u says nothing about the language.
-    order = np.argsort([hash_of(i) for i in range(len(given))])
-    fit = [i for i in order if i % HELD_FOR_TEMPERATURE or len(given) < HELD_FOR_TEMPERATURE]
+    order = np.argsort([hash_of(i) for i in range(len(vectors))])
+    fit = [i for i in order if i % HELD_FOR_TEMPERATURE or len(vectors) < HELD_FOR_TEMPERATURE]
     weights = ftrl([vectors[i] for i in fit], classes[fit], len(languages))
     held = [i for i in order if not i % HELD_FOR_TEMPERATURE]
     logits = np.array([v @ weights[at] for at, v in (vectors[i] for i in held)])
