@@ -9,38 +9,53 @@ from bucketlens import schema as S
 from bucketlens.functions import addresses as A
 from bucketlens.session import staged
 
-# Beyond this many rows (some 200 MB in memory) a lookup table is joined by a
-# shuffle instead of being sent to every executor.
-BROADCAST_ROWS = 2_000_000
-
-# An address is hot when it holds more than 1 / HOT_SHARE of all rows, so there
-# are never more than HOT_SHARE hot addresses.
-HOT_SHARE = 1_000
-
-# Country codes are numbered; the number fills the low bits of a match.
-COUNTRY_BITS = 16
+# Lookup tables up to this size are sent to every executor, larger ones are joined by a shuffle.
+BROADCAST_BYTES = 64 << 20
+# What a row of a lookup table takes besides its text.
+ROW_BYTES = 64
+# In a table with so many codes at most they are numbered, in the low bits of a match:
+# minima of numbers are taken in hash tables, those of texts need sorted rows.
+MOST_CODES, CODE_BITS = 1_000, 16
+
+# Prefixes of at most so many digits number 139,810 at most, whatever the table: they
+# are always sent. Each of them may hold any share of the addresses.
+WIDE_DIGITS = 4
+# A longer prefix's addresses are dealt over so many tasks.
+COPIES = 8
+
+# An address with more rows than a task should have, or than a millionth of all, is hot.
+HOT_ROWS = 1_000_000
+MOST_HOT = 1_000_000
+# Rows that match nothing in a shuffle are spread over so many keys.
+SPREAD = 1_000
 
 
 @dataclass(frozen=True)
 class GeoTable:
     """Country by address prefix.
 
-    ``prefixes`` has one row per distinct prefix: ``prefix`` and ``match``, a number
-    that orders ranges from narrow to wide and ends in the number of the country.
-    ``countries`` lists the codes by number, ``lengths`` the lengths of the
-    prefixes of each address family.
+    ``prefixes`` has one row per distinct prefix: ``prefix`` and ``match``, the width of
+    its narrowest range and that range's code (empty for none); of equal widths the
+    first code in order. Few codes are listed in ``codes``, in order, and ``match`` is a
+    number that ends in the place of the code; otherwise it is a struct. ``lengths``
+    lists the lengths of the prefixes of each address family.
     """
 
     prefixes: DataFrame
-    countries: list[str]
     lengths: dict[str, list[int]]
+    codes: list[str]
     broadcastable: bool
 
     def country(self, match: Column) -> Column:
-        """Code of the country a match ends in; none, or no match, is ``N/A``."""
-        codes = F.array(*(F.lit(c or S.NO_COUNTRY) for c in self.countries))
-        number = match.bitwiseAND(F.lit(2**COUNTRY_BITS - 1)).cast("int")
-        return F.coalesce(F.get(codes, number), F.lit(S.NO_COUNTRY))
+        """Code of a match; none, or no match, is ``N/A``."""
+        code = match["code"]
+        if self.codes:
+            code = F.get(_texts(self.codes), match.bitwiseAND(F.lit(2**CODE_BITS - 1)).cast("int"))
+        return F.coalesce(F.nullif(code, F.lit("")), F.lit(S.NO_COUNTRY)).alias("country")
+
+
+def _texts(values: list[str]) -> Column:
+    return F.array(*(F.lit(v) for v in values)).cast("array<string>")
 
 
 def geo_table(ranges: DataFrame | None = None, networks: DataFrame | None = None) -> GeoTable:
@@ -58,18 +73,18 @@ def geo_table(ranges: DataFrame | None = None, networks: DataFrame | None = None
     pieces = parts[0]
     for part in parts[1:]:
         pieces = pieces.unionByName(part)
-    code = F.coalesce("iso_code", F.lit(""))
-    # Sets of country codes and of prefix lengths, and a bound on the table's size.
+    pieces = pieces.select("prefix", "width", F.coalesce("iso_code", F.lit("")).alias("code"))
+    # Family and length: 40 pairs at most.
     kind = F.struct(F.substring("prefix", 1, 1), F.length("prefix"))
-    found = pieces.agg(F.collect_set(code), F.collect_set(kind), F.count(F.lit(1))).first()
-    countries = sorted(found[0])
-    if len(countries) > 2**COUNTRY_BITS:
-        raise ValueError(f"more than {2**COUNTRY_BITS} country codes: {len(countries)}")
-    number = F.array_position(F.array(*(F.lit(c) for c in countries)).cast("array<string>"), code) - 1
-    match = F.shiftleft("width", COUNTRY_BITS) + number
+    size = F.sum(F.octet_length("prefix") + F.octet_length("code") + ROW_BYTES)
+    found = pieces.agg(F.collect_set(kind), F.coalesce(size, F.lit(0)), F.approx_count_distinct("code")).first()
+    lengths = {family: sorted(length for f, length in found[0] if f == family) for family in ("4", "6")}
+    codes = sorted(r[0] for r in pieces.select("code").distinct().collect()) if found[2] <= MOST_CODES else []
+    match = F.struct("width", "code")
+    if codes:
+        match = F.shiftleft("width", CODE_BITS) + F.array_position(_texts(codes), F.col("code")) - 1
     prefixes = pieces.select("prefix", match.alias("match")).groupBy("prefix").agg(F.min("match").alias("match"))
-    lengths = {family: sorted(length for f, length in found[1] if f == family) for family in ("4", "6")}
-    return GeoTable(prefixes, countries, lengths, found[2] <= BROADCAST_ROWS)
+    return GeoTable(prefixes, lengths, codes, found[1] <= BROADCAST_BYTES)
 
 
 def _range_prefixes(ranges: DataFrame) -> DataFrame:
@@ -151,6 +166,16 @@ def _ipv6_prefixes(networks: DataFrame) -> DataFrame:
     )
 
 
+def _cuts(geo: GeoTable, low: int = 0, high: int = A.IPV6_DIGITS) -> Column:
+    """The prefixes of ``_address`` with ``low`` to ``high`` digits that the table may hold."""
+
+    def of_family(family: str) -> Column:
+        cuts = [F.substring(F.col("_address"), 1, n) for n in geo.lengths[family] if low <= n - 1 <= high]
+        return F.when(F.col("_address").startswith(family), F.array(*cuts)) if cuts else F.lit(None)
+
+    return F.coalesce(of_family("4"), of_family("6"), F.lit(None).cast("array<string>"))
+
+
 def resolve_addresses(keyed: DataFrame, geo: GeoTable, keys: list[str], address: Column) -> DataFrame:
     """Add ``country`` to a frame whose rows are told apart by ``keys``.
 
@@ -159,43 +184,72 @@ def resolve_addresses(keyed: DataFrame, geo: GeoTable, keys: list[str], address:
     ``keyed`` is already grouped by ``keys``, putting its rows together again
     needs no shuffle.
     """
-
-    def prefixes_of(family: str) -> Column:
-        cuts = [F.substring(F.col("_address"), 1, n) for n in geo.lengths[family]]
-        return F.when(F.col("_address").startswith(family), F.array(*cuts)) if cuts else F.lit(None)
-
+    if not geo.broadcastable:
+        return _resolve_by_shuffle(keyed, geo, address)
     rest = [c for c in keyed.columns if c not in keys]
-    cuts = F.coalesce(prefixes_of("4"), prefixes_of("6"), F.lit(None).cast("array<string>"))
-    tried = A.with_address_text(keyed, address, "_address").select(*keyed.columns, F.explode_outer(cuts).alias("prefix"))
-    prefixes = F.broadcast(geo.prefixes) if geo.broadcastable else geo.prefixes
-    met = tried.join(prefixes, "prefix", "left").groupBy(*keys)
+    cuts = F.explode_outer(_cuts(geo)).alias("prefix")
+    tried = A.with_address_text(keyed, address, "_address").select(*keyed.columns, cuts)
+    met = tried.join(F.broadcast(geo.prefixes), "prefix", "left").groupBy(*keys)
     narrowest = met.agg(*(F.any_value(c).alias(c) for c in rest), F.min("match").alias("match"))
-    return narrowest.select(*keyed.columns, geo.country(F.col("match")).alias("country"))
+    return narrowest.select(*keyed.columns, geo.country(F.col("match")))
+
 
+def _resolve_by_shuffle(keyed: DataFrame, geo: GeoTable, address: Column) -> DataFrame:
+    """``resolve_addresses`` for a table too large to be sent.
 
-def with_country(requests: DataFrame, geo: GeoTable, ip: str = "remoteip", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    Every distinct address is looked up once: in the few wide prefixes, which are sent,
+    and in the others by a shuffle that deals the addresses of a prefix over several
+    tasks. Rows without an address stay out of it and are spread.
+    """
+    named = A.with_address_text(keyed, address, "_hex")
+    # Out of a generator: filters that the optimizer infers for the joins below would
+    # otherwise be moved below the steps that build the text, and repeat them many times over.
+    named = named.select(*keyed.columns, F.explode(F.array("_hex")).alias("_address"))
+    # A missing address has no prefix and falls out below.
+    distinct = named.select("_address").distinct()
+
+    def tried(low: int, high: int) -> DataFrame:
+        return distinct.select("_address", F.explode(_cuts(geo, low, high)).alias("prefix"))
+
+    digits = F.length("prefix") - 1
+    wide = tried(0, WIDE_DIGITS).join(F.broadcast(geo.prefixes.where(digits <= WIDE_DIGITS)), "prefix")
+    copy = F.pmod(F.xxhash64("_address"), F.lit(COPIES)).cast("int")
+    copied = geo.prefixes.where(digits > WIDE_DIGITS).withColumn("_copy", F.explode(F.lit(list(range(COPIES)))))
+    narrow = tried(WIDE_DIGITS + 1, A.IPV6_DIGITS).withColumn("_copy", copy).join(copied.hint("shuffle_merge"), ["prefix", "_copy"])
+    met = wide.select("_address", "match").unionByName(narrow.select("_address", "match"))
+    found = met.groupBy("_address").agg(F.min("match").alias("_match")).withColumnRenamed("_address", "_found")
+    spread = F.concat(F.lit("none "), F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("string"))
+    placed = named.withColumn("_place", F.coalesce("_address", spread))
+    joined = placed.join(found.hint("shuffle_merge"), F.col("_place") == F.col("_found"), "left")
+    return joined.select(*keyed.columns, geo.country(F.col("_match")))
+
+
+def with_country(
+    requests: DataFrame, geo: GeoTable, ip: str = "remoteip", broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Add ``country`` to every request.
 
     Addresses are counted and each distinct one is looked up once; that table is
     written to the shared folder. If it is small it is sent to the requests, which
     then stay where they are. Otherwise it is joined by a shuffle, except for hot
-    addresses: their rows meet a broadcast copy of at most ``HOT_SHARE`` rows and
-    are spread evenly, like rows without an address, so that one busy address does
-    not fill one task.
+    addresses: their rows meet a broadcast copy of at most ``MOST_HOT`` rows and are
+    spread by their place in the input, like rows without an address, so that one busy
+    address does not fill one task.
     """
     counted = requests.where(F.col(ip).isNotNull()).groupBy(F.col(ip).alias("_ip")).agg(F.count(F.lit(1)).alias("_n"))
     found = staged(resolve_addresses(counted, geo, ["_ip"], F.col("_ip")).withColumnRenamed("country", "_country"), "addresses")
-    size = found.agg(F.count(F.lit(1)).alias("addresses"), F.sum("_n").alias("requests")).first()
-    if size.addresses <= broadcast_rows:
+    text = F.octet_length("_ip") + F.octet_length("_country") + ROW_BYTES
+    size = found.agg(F.coalesce(F.sum(text), F.lit(0)).alias("bytes"), F.coalesce(F.sum("_n"), F.lit(0)).alias("requests")).first()
+    if size.bytes <= broadcast_bytes:
         joined = requests.join(F.broadcast(found), F.col(ip) == F.col("_ip"), "left")
         return joined.select(*requests.columns, F.coalesce("_country", F.lit(S.NO_COUNTRY)).alias("country"))
-    hot = found.where(F.col("_n") > size.requests // HOT_SHARE).select(
+    hot = found.where(F.col("_n") > max(hot_rows, size.requests // MOST_HOT)).select(
         F.col("_ip").alias("_hot_ip"), F.col("_country").alias("_hot_country")
     )
-    spread = F.concat(F.lit("hot "), F.pmod(F.xxhash64(*requests.columns), F.lit(HOT_SHARE)).cast("string"))
+    spread = F.concat(F.lit("hot "), F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("string"))
     own_place = F.col("_hot_ip").isNotNull() | F.col(ip).isNull()
-    marked = requests.join(F.broadcast(hot), F.col(ip) == F.col("_hot_ip"), "left").withColumn(
-        "_join_ip", F.when(own_place, spread).otherwise(F.col(ip))
+    marked = requests.withColumn("_spread", spread).join(F.broadcast(hot), F.col(ip) == F.col("_hot_ip"), "left").withColumn(
+        "_join_ip", F.when(own_place, F.col("_spread")).otherwise(F.col(ip))
     )
     joined = marked.join(found.hint("shuffle_merge"), F.col("_join_ip") == F.col("_ip"), "left")
     country = F.coalesce("_hot_country", "_country", F.lit(S.NO_COUNTRY)).alias("country")

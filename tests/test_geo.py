@@ -122,12 +122,12 @@ def test_prefixes_cover_the_range_exactly(spark):
         assert len(prefixes) <= 240
 
 
-@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
-def test_hot_address_and_missing_addresses(spark, table, networks, ranges, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [10**8, 0])
+def test_hot_address_and_missing_addresses(spark, table, networks, ranges, broadcast_bytes):
     """One address with most of the rows, and many rows without any."""
     addresses = ["10.0.0.1"] * 3000 + [None] * 1500 + near_addresses(random.Random(5), 300)
     requests = spark.createDataFrame([(i, a) for i, a in enumerate(addresses)], "i int, remoteip string")
-    looked_up = {r.i: r.country for r in G.with_country(requests, table, broadcast_rows=broadcast_rows).collect()}
+    looked_up = {r.i: r.country for r in G.with_country(requests, table, broadcast_bytes=broadcast_bytes, hot_rows=50).collect()}
     assert looked_up == {i: country_of(a, networks, ranges) for i, a in enumerate(addresses)}
 
 
@@ -143,3 +143,52 @@ def test_lookup_of_counted_addresses_adds_no_shuffle(prepared, geo):
 def test_lookup_per_request_agrees_with_lookup_per_count(prepared, geo):
     by_request = G.with_country(prepared, geo).groupBy("day", "country").count()
     assert rows(by_request) == rows(location_histogram(prepared, geo, ["day"]))
+
+
+@pytest.fixture
+def many_tasks(spark):
+    """Plans as on a cluster: a dozen tasks, nothing decided at run time, nothing sent unasked."""
+    settings = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def partition_sizes(df):
+    # The country is used, or the plan would leave the lookup out.
+    sizes = df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("country"))
+    return [r.n for r in sizes.collect()]
+
+
+def test_many_codes(spark):
+    ranges = spark.range(1_500).selectExpr("id * 10 AS range_start", "id * 10 + 4 AS range_end", "concat('C', id) AS iso_code")
+    table = G.geo_table(ranges)
+    assert table.codes == []
+    asked = spark.createDataFrame([("0.0.0.3",), ("0.0.0.7",), ("0.0.58.126",), (None,)], "remoteip string")
+    for broadcastable in (True, False):
+        located = G.resolve_addresses(asked, replace(table, broadcastable=broadcastable), ["remoteip"], asked["remoteip"])
+        assert rows(located) == sorted([("0.0.0.3", "C0"), ("0.0.0.7", "N/A"), ("0.0.58.126", "C1497"), (None, "N/A")], key=repr)
+
+
+def test_shuffled_lookup_of_counts_without_hot_tasks(spark, table, many_tasks):
+    counted = spark.range(6_000).selectExpr(
+        "CAST(id AS STRING) AS k", "IF(id % 3 = 0, concat_ws('.', 10, id % 250, id % 7, id % 200), NULL) AS remoteip"
+    )
+    located = G.resolve_addresses(counted, replace(table, broadcastable=False), ["k"], counted["remoteip"])
+    sizes = partition_sizes(located)
+    assert sum(sizes) == 6_000 and max(sizes) < 2.5 * 6_000 / 12
+    expected = G.resolve_addresses(counted, table, ["k"], counted["remoteip"])
+    assert rows(located) == rows(expected)
+
+
+def test_shuffled_country_of_a_single_column_without_hot_tasks(spark, table, many_tasks):
+    requests = spark.range(9_000).selectExpr(
+        "CASE id % 3 WHEN 0 THEN '10.1.0.7' WHEN 1 THEN NULL ELSE concat_ws('.', 10, id % 250, id % 7, id % 200) END AS remoteip"
+    )
+    located = G.with_country(requests, table, broadcast_bytes=0, hot_rows=500)
+    sizes = partition_sizes(located)
+    assert sum(sizes) == 9_000 and max(sizes) < 2.5 * 9_000 / 12
+    assert rows(located) == rows(G.with_country(requests, table))
