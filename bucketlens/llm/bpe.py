@@ -21,6 +21,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -67,6 +68,7 @@ def word_patterns() -> dict[str, str]:
     return {"newer": f"[{newer}]", "strict_pattern": "(?V1)" + strict}
 
 
+@lru_cache(maxsize=2)
 def load_vocabulary(path: str) -> dict:
     """Tables of a byte-level BPE file, as plain values that can be sent to executors."""
     with open(path, encoding="utf-8") as file:
