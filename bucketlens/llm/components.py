@@ -21,19 +21,29 @@ def local_labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
             label = label[label]
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Is every larger end ``u`` hung on one ``v`` only, and no ``v`` hung on anything?
+
+    Edges then join each node to the smallest one of its component.
+    """
+    upper = edges.select(F.col("u").alias("node"), F.lit(1).alias("hung"), F.lit(0).alias("holds"))
+    lower = edges.select(F.col("v").alias("node"), F.lit(0).alias("hung"), F.lit(1).alias("holds"))
+    nodes = upper.unionByName(lower).groupBy("node").agg(F.sum("hung").alias("hung"), F.max("holds").alias("holds"))
+    return nodes.where("hung > 1 OR (hung = 1 AND holds = 1)").count() == 0
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node it reaches) for all nodes of ``edges`` (a, b).
 
-    Alternates two steps until nothing changes: every node's larger neighbours are
-    hung on its smallest neighbour, then its smaller ones and itself. A hub's edges
+    Alternates two steps until every component is a star: a node's larger neighbours
+    are hung on its smallest neighbour, then its smaller ones and itself. A hub's edges
     are spread over tasks, minima are combined before the shuffle, and each round is
     written to the shared folder.
     """
     current = staged(
         edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "component-edges"
     )
-    seen = None
-    while True:
+    while not _all_stars(current):
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         hung = spread_join(both, lowest, ["u"], ["v"], copies=4).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -43,11 +53,5 @@ def components(edges: DataFrame) -> DataFrame:
         hung = spread_join(large, lowest, ["u"], ["v"], copies=4).select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = hung.unionByName(lowest.withColumnRenamed("m", "v")).where("u != v").distinct()
         current = staged(small, "component-small")
-        # The same number of the same edges: no step changes them any more.
-        digest = F.sum(F.xxhash64("u", "v").bitwiseAND(F.lit(0xFFFFFFFF)))
-        state = current.agg(F.count(F.lit(1)), digest).first()
-        if state == seen:
-            break
-        seen = state
     roots = current.select("v").distinct().select("v", F.col("v").alias("root"))
     return current.toDF("node", "root").unionByName(roots.toDF("node", "root"))
