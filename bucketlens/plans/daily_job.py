@@ -45,14 +45,17 @@ def count_days(prepared: DataFrame) -> DataFrame:
     return count_for_sections(prepared, ["day"])
 
 
-def daily_metrics_from_counts(counted: DataFrame, geo: GeoTable) -> DataFrame:
-    """Long form of the daily metrics: date, scope, folder, metric, sub_key, value."""
+def daily_metrics_from_counts(counted: DataFrame, geo: GeoTable, written: bool = False) -> DataFrame:
+    """Long form of the daily metrics: date, scope, folder, metric, sub_key, value.
+
+    ``written``: see ``sum_sections``.
+    """
     locations = Value("locations", "country", "requests")
     referrers = Value("referrers", REFERRER, "requests")
     files = Value("meta_downloads", KEY, "downloads")
     folder = {KEY: [], ADDRESS: [locations], REFERRER: [referrers]}
     whole = {**folder, KEY: [files]}
-    entries = sum_sections(locate_counts(counted, geo, ["day"]), ["day"], S.DAILY_METRICS, whole, folder)
+    entries = sum_sections(locate_counts(counted, geo, ["day"]), ["day"], S.DAILY_METRICS, whole, folder, written)
     return entries.select(
         R.partition_day(F.col("day")).alias("date"),
         "scope",
@@ -63,8 +66,8 @@ def daily_metrics_from_counts(counted: DataFrame, geo: GeoTable) -> DataFrame:
     )
 
 
-def daily_metrics(prepared: DataFrame, geo: GeoTable) -> DataFrame:
-    return daily_metrics_from_counts(count_days(prepared), geo)
+def daily_metrics(prepared: DataFrame, geo: GeoTable, written: bool = False) -> DataFrame:
+    return daily_metrics_from_counts(count_days(prepared), geo, written)
 
 
 def daily_summaries(rows: DataFrame) -> DataFrame:
@@ -114,7 +117,7 @@ def daily_job(
     A request time that doesn't parse fails the job before anything is stored, unless
     ``lenient``; ``bad_times`` counts such rows.
     """
-    rows = daily_metrics(prepare(filter_object_requests(logs), lenient=lenient, bad_times=bad_times), geo)
+    rows = daily_metrics(prepare(filter_object_requests(logs), lenient=lenient, bad_times=bad_times), geo, written=True)
     # Stored in two shapes, computed once.
     computed = staged(rows, "daily-rows")
     store_days(computed, out)

@@ -3,6 +3,10 @@
 Requests are counted per distinct key, address and referrer (one shuffle), then
 each of those rows adds to the metrics it bears on, as (metric, sub_key, n)
 entries that are summed up (a second shuffle, of what the counting left over).
+
+Jobs write the counts to the shared folder in between. They can then be read twice:
+entries that only one row can make, such as the downloads of a file, are final as they
+are, and the second shuffle carries the others only, summed per task first.
 """
 
 from dataclasses import dataclass
@@ -12,6 +16,7 @@ from pyspark.sql import functions as F
 
 from bucketlens.operators.geo import GeoTable, resolve_addresses
 from bucketlens.operators.metrics import ADDRESS, KEY, REFERRER, count_values, in_set, set_columns
+from bucketlens.session import staged
 
 FOLDER = "top_level_key"
 WHOLE_SCOPE, FOLDER_SCOPE = "whole", "folder"
@@ -55,6 +60,13 @@ def _struct(scope: str, metric: str | None = None, sub_key: str = "NULL", n: str
     )
 
 
+def _final_struct(scope: str, value: Value) -> str:
+    return (
+        f"named_struct('scope', '{scope}', 'metric', '{value.metric}', 'sub_key', CAST({value.sub_key} AS STRING), "
+        f"'n', CAST(IF({value.when}, {value.n}, NULL) AS BIGINT))"
+    )
+
+
 def grouping_sets(outer: list[str]) -> list[list[str]]:
     """Per key and referrer by folder (a key has one folder); addresses also overall."""
     return [[*outer, FOLDER, KEY], [*outer, FOLDER, ADDRESS], [*outer, ADDRESS], [*outer, FOLDER, REFERRER]]
@@ -76,36 +88,55 @@ def locate_counts(counted: DataFrame, geo: GeoTable, outer: list[str]) -> DataFr
 
 
 def sum_sections(
-    located: DataFrame, outer: list[str], metrics: list[str], whole: dict[str, list[Value]], folder: dict[str, list[Value]]
+    located: DataFrame, outer: list[str], metrics: list[str], whole: dict[str, list[Value]], folder: dict[str, list[Value]],
+    written: bool = False,
 ) -> DataFrame:
     """Add counted rows up to the metrics of every section.
 
     Each row gives one entry with its plain metrics per level, and one per value
     that ``whole`` and ``folder`` list for its kind (key, remoteip, referrer). Result:
     the ``outer`` columns, ``scope``, the folder (NULL for the whole service),
-    ``metric``, ``sub_key`` (NULL for plain metrics) and ``n``.
+    ``metric``, ``sub_key`` (NULL for plain metrics) and ``n``. With ``written`` the
+    counts are written first and final entries stay out of the second shuffle.
     """
 
-    def entries(kind: str, column: str, sums: dict[str, str], *scopes: str) -> str:
-        structs = [_struct(scope, sums=sums) for scope in scopes if sums]
-        for scope in scopes:
-            given = whole if scope == WHOLE_SCOPE else folder
-            structs += [
-                _struct(scope, v.metric, v.sub_key, f"IF({v.when}, {v.n}, NULL)") for v in given[column]
-            ]
-        return f"WHEN '{kind}' THEN array({', '.join(structs)})"
-
-    cases = [
-        entries("key", KEY, KEY_SUMS, WHOLE_SCOPE, FOLDER_SCOPE),
-        entries("folder_address", ADDRESS, ADDRESS_SUMS, FOLDER_SCOPE),
-        entries("address", ADDRESS, ADDRESS_SUMS, WHOLE_SCOPE),
-        entries("referrer", REFERRER, {}, WHOLE_SCOPE, FOLDER_SCOPE),
+    counts = staged(located, "section-counts") if written else located
+
+    def final(scope: str, column: str, value: Value) -> bool:
+        """Does only one counted row bear on each sub_key of the value?"""
+        return written and value.sub_key == column and (column == KEY or column == REFERRER and scope == FOLDER_SCOPE)
+
+    def values(column: str, *scopes: str) -> list[tuple[str, Value, bool]]:
+        given = {WHOLE_SCOPE: whole, FOLDER_SCOPE: folder}
+        return [(scope, v, final(scope, column, v)) for scope in scopes for v in given[scope][column]]
+
+    kinds = [
+        ("key", KEY, KEY_SUMS, [WHOLE_SCOPE, FOLDER_SCOPE]),
+        ("folder_address", ADDRESS, ADDRESS_SUMS, [FOLDER_SCOPE]),
+        ("address", ADDRESS, ADDRESS_SUMS, [WHOLE_SCOPE]),
+        ("referrer", REFERRER, {}, [WHOLE_SCOPE, FOLDER_SCOPE]),
     ]
-    exploded = located.select(*outer, FOLDER, F.expr(f"inline(CASE kind {' '.join(cases)} END)"))
-    # A value counts from its first request on.
-    counts = exploded.where("metric IS NULL OR (n > 0 AND sub_key IS NOT NULL)")
+    summed_cases, final_cases = [], []
+    for kind, column, sums, scopes in kinds:
+        listed = values(column, *scopes)
+        structs = [_struct(scope, sums=sums) for scope in scopes if sums]
+        structs += [_struct(scope, v.metric, v.sub_key, f"IF({v.when}, {v.n}, NULL)") for scope, v, is_final in listed if not is_final]
+        finals = [_final_struct(scope, v) for scope, v, is_final in listed if is_final]
+        for cases, found in ((summed_cases, structs), (final_cases, finals)):
+            if found:
+                cases.append(f"WHEN '{kind}' THEN array({', '.join(found)})")
+
     section = F.expr(f"IF(scope = '{FOLDER_SCOPE}', {FOLDER}, NULL)").alias(FOLDER)
-    summed = counts.groupBy(*outer, "scope", section, "metric", "sub_key").agg(*(F.sum(c).alias(c) for c in ["n", *SUMS]))
+
+    def entries(cases: list[str]) -> DataFrame:
+        exploded = counts.select(*outer, FOLDER, F.expr(f"inline(CASE kind {' '.join(cases)} END)"))
+        # A value counts from its first request on.
+        return exploded.where("metric IS NULL OR (n > 0 AND sub_key IS NOT NULL)")
+
+    summed = entries(summed_cases).groupBy(*outer, "scope", section, "metric", "sub_key").agg(*(F.sum(c).alias(c) for c in ["n", *SUMS]))
     plain = ", ".join(f"named_struct('metric', '{m}', 'sub_key', CAST(NULL AS STRING), 'n', {m})" for m in metrics)
     as_rows = f"IF(metric IS NULL, array({plain}), array(named_struct('metric', metric, 'sub_key', sub_key, 'n', n)))"
-    return summed.select(*outer, "scope", FOLDER, F.expr(f"inline({as_rows})"))
+    rows = summed.select(*outer, "scope", FOLDER, F.expr(f"inline({as_rows})"))
+    if not final_cases:
+        return rows
+    return rows.unionByName(entries(final_cases).select(*outer, "scope", section, "metric", "sub_key", "n"))

@@ -31,11 +31,12 @@ OVERALL = "overall"
 SIZE_METRICS = ["download_size", "upload_size"]
 
 
-def section_counts(prepared: DataFrame, geo: GeoTable, interactions: bool = False) -> DataFrame:
+def section_counts(prepared: DataFrame, geo: GeoTable, interactions: bool = False, written: bool = False) -> DataFrame:
     """All metrics and value counts of the report's sections, rankings not yet cut.
 
     Columns: scope, section, metric, sub_key, n. A ranked value's metric is its
-    dimension, with ``_by_interaction`` for counts over interactions.
+    dimension, with ``_by_interaction`` for counts over interactions. ``written``: see
+    ``sum_sections``.
     """
     key, folder = F.col(KEY), F.col(FOLDER)
     located = locate_counts(count_for_sections(prepared, []), geo, [])
@@ -61,7 +62,7 @@ def section_counts(prepared: DataFrame, geo: GeoTable, interactions: bool = Fals
 
     whole, by_folder = dimensions("true"), dimensions("has_section")
     by_folder[KEY] += [v for name in ("project", "feature", "fileformat") for v in ranked(name, name, "has_components")]
-    counts = sum_sections(located, [], list(S.REPORT_METRICS), whole, by_folder)
+    counts = sum_sections(located, [], list(S.REPORT_METRICS), whole, by_folder, written)
     shown = (F.col("scope") != FOLDER_SCOPE) | R.has_section(folder)
     return counts.where(shown).select(
         "scope", F.coalesce(FOLDER, F.lit(OVERALL)).alias("section"), "metric", "sub_key", "n"
@@ -197,7 +198,7 @@ def usage_report(
 
     prepared = prepare(logs, bad_times=bad_times)
     # A few rows per section, read by all that follows.
-    top = staged(top_of_sections(section_counts(prepared, geo, interactions)), "report-sections")
+    top = staged(top_of_sections(section_counts(prepared, geo, interactions, written=True)), "report-sections")
     current = overall_document(top, start, end)
     history_path = f"{results}/history"
     write_period_metrics(current, history_path)
