@@ -4,7 +4,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from bucketlens.llm import bpe, embedding_dedup, language_id, line_dedup, mixing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup
+from bucketlens.llm import (
+    bpe,
+    embedding_dedup,
+    fim,
+    html_extract,
+    language_id,
+    line_dedup,
+    mixing,
+    periodic_runs,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+    suffix_dedup,
+)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -57,6 +71,18 @@ def op10_bpe(spark, sf_dir):
     return bpe.bpe_query(documents(spark, sf_dir), TOKENIZER)
 
 
+def op11_fim(spark, sf_dir):
+    return fim.fim_query(documents(spark, sf_dir))
+
+
+def op12_html_extract(spark, sf_dir):
+    return html_extract.html_query(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.runs_query(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -68,10 +94,14 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
+    "op11_fim": op11_fim,
+    "op12_html_extract": op12_html_extract,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES = {
     "op3_line_dedup": line_dedup.oracle(),
     "op6_quality_rules": quality_rules.oracle(),
     "op9_mixing": mixing.oracle(),
+    "op11_fim": fim.oracle(),
 }

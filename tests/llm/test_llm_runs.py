@@ -1,0 +1,124 @@
+"""Periodic runs against a search through all periods."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from cases import WORD, awkward_rows, sha
+
+from bucketlens.llm import periodic_runs as P
+
+
+def plain_runs(words, least):
+    """(start, length, period) of every run, by trying every period at every place."""
+    found = []
+    for q in range(1, len(words) // 2 + 1):
+        begin = 0
+        while begin + q < len(words):
+            end = begin
+            while end + q < len(words) and words[end] == words[end + q]:
+                end += 1
+            length = end - begin + q
+            if end > begin and length >= max(least, 2 * q):
+                run = words[begin : begin + length]
+                if not any(run[d:] == run[:-d] for d in range(1, q)):
+                    found.append((begin, length, q))
+            begin = max(end, begin) + 1
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def plain_planted(doc_id, words):
+    h = zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
+    g, n = h // 10, len(words)
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    return words
+
+
+def plain_row(doc_id, text):
+    words = plain_planted(doc_id, WORD.findall(text or ""))
+    runs = plain_runs(words, 12)
+    dropped = {k for s, n, q in runs for k in range(s + q, s + n)}
+    longest = max(runs, key=lambda r: (r[1], -r[0], -r[2])) if runs else (None, None, None)
+    exponent = 1000 * longest[1] // longest[2] if runs else None
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    return doc_id, len(runs), *longest, exponent, sha(lines), sha(" ".join(w for k, w in enumerate(words) if k not in dropped))
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("least", [2, 3, 5, 12])
+def test_random_texts_in_one_group(least):
+    draw = random.Random(least)
+    for _ in range(400):
+        texts = []
+        for _ in range(draw.randint(0, 6)):
+            words = [draw.randrange(draw.randint(1, 4)) for _ in range(draw.randint(0, 50))]
+            words = words * draw.randint(1, 4) if draw.random() < 0.3 else words
+            texts.append(plain_planted(draw.randrange(100), words))
+        found = P.runs_of([P._numbered([str(w) for w in words]) for words in texts], least)
+        assert found == [plain_runs(words, least) for words in texts]
+
+
+def test_many_pairs_with_long_common_prefixes():
+    """More pairs than are compared one by one, and pairs that share thousands of words."""
+    draw = random.Random(1)
+    period = [draw.randrange(50) for _ in range(700)]
+    texts = [period * 4] + [[k, k + 1, k + 2] * 9 + [draw.randrange(9) for _ in range(40)] for k in range(90)]
+    found = P.runs_of([P._numbered([str(w) for w in words]) for words in texts])
+    assert found[0] == [(0, 2800, 700)]
+    assert found == [plain_runs(words, 12) if k else found[0] for k, words in enumerate(texts)]
+
+
+def test_nested_runs_of_a_fibonacci_word():
+    a, b = "x", "xy"
+    while len(b) < 400:
+        a, b = b, b + a
+    assert P.runs_of([P._numbered(list(b))])[0] == plain_runs(list(b), 12)
+
+
+def test_awkward_documents(awkward):
+    rows = [r[:2] for r in awkward_rows() if r[0] not in (9, 10)]
+    short = awkward.where("doc_id IS NULL OR doc_id NOT IN (9, 10)")
+    assert rows_of(P.runs_query(short)) == sorted((plain_row(*r) for r in rows), key=repr)
+    assert P.runs_query(awkward).count() == len(awkward_rows())
+
+
+def test_planted_ids(spark):
+    draw = random.Random(8)
+    ids = [i for i in range(2_000) if zlib.crc32(str(i).encode()) % 10 == 0][:60]
+    rows = [(i, " ".join(draw.choice("abcdefgh") for _ in range(draw.randint(0, 130)))) for i in [*ids, *range(40), None]]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").selectExpr("*", "text AS runs", "doc_id AS start")
+    got = rows_of(P.runs_query(docs))
+    assert got == sorted((plain_row(*r) for r in rows), key=repr)
+    assert sum(r[1] > 0 for r in got) > 40
+
+
+def test_real_output_and_empty_table(spark, nothing):
+    docs = spark.createDataFrame([("d", "start " + "one two three " * 5 + "end")], "doc_id STRING, text STRING")
+    assert rows_of(P.periodic_runs(docs)) == [("d", 1, 1, 15, 3, 5000, "1,15,3\n", "start one two three end")]
+    assert rows_of(P.runs_query(nothing)) == []
+
+
+def test_query_over_documents(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    short = {r.doc_id: r.text for r in docs.collect() if len((r.text or "").split()) < 400}
+    got = {r[0]: r for r in rows_of(P.runs_query(docs))}
+    assert len(got) == docs.count()
+    assert all(got[i] == plain_row(i, t) for i, t in short.items())
+
+
+def test_sets_united_by_decreasing_prefix():
+    """Every pair of neighbours within a class, at any level, is reported once it lies close enough."""
+    words = P._numbered(list("abaababaabaab" * 2))
+    text = np.concatenate([words, [words.max() + 1]])
+    left, right = P.suffix_order(text, 1)
+    shared = P.common_lengths(text, left, right)
+    for p, q, n in zip(left.tolist(), right.tolist(), shared.tolist()):
+        assert text[p : p + n].tolist() == text[q : q + n].tolist() and text[p + n] != text[q + n]
+    assert all(0 < q - p <= n for p, q, n in P.seeds(left, right, shared))
