@@ -38,6 +38,8 @@ MARKUP = re.compile(
     r"""<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/><]*)((?:[^>"'<]++|"[^"<]*"|'[^'<]*')*+|[^>]*)>|[!?][^>]*(?:>|\Z))""", re.S
 )
 ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+# Ends the label of a node whose own text is mostly links: menus fold apart from prose.
+MOSTLY_LINKS = ".@"
 # Elements nested deeper than this are no nodes of their own; their text is kept as ever.
 DEEPEST = 250
 
@@ -158,6 +160,12 @@ def parse(html: str, is_marked) -> Page:
     if at < len(html):
         pieces.append(html[at:])
     flush()
+    chars = [0] * len(labels)
+    for node, text, linked in blocks:
+        chars[node] += len(text) - 2 * linked
+    for node in {node for node, _, _ in blocks}:
+        if chars[node] < 0:
+            labels[node] += MOSTLY_LINKS
     return Page(parents, labels, blocks)
 
 

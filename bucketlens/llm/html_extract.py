@@ -5,8 +5,8 @@ layout is the seed, to which all its other layouts are aligned by simple tree ma
 Aligned nodes are slots of the host's wrapper. What stands in a slot is compared over
 all pages of the host: a slot with one and the same text on different pages is template,
 the others vary and are content, unless they are set apart by their name (menus,
-adverts, comments), by links making up most of them, or by standing outside the part
-of the page that holds the article. A node that no slot of the seed matches is judged
+adverts, comments), by links making up most of them, or by standing outside the
+element that is marked as the article. A node that no slot of the seed matches is judged
 by the pages of its own layout.
 
 The pages are read twice: for the measures of the slots, which are combined in every
@@ -41,8 +41,6 @@ LANDMARK_WORDS = {"main": {"main", "articlebody", "article-body"}}
 FLOW = dom.HEADINGS | set("p li dt dd blockquote pre td th caption figcaption summary address".split())
 # A slot with more of its characters in links than this is a list of links.
 LINKED = 0.5
-# The part of a page that holds this share of its varying text holds the article.
-DOMINANT = 0.6
 
 # Decisions that take more bytes than this are not broadcast.
 BROADCAST_BYTES = 16 << 20
@@ -99,21 +97,10 @@ def content_nodes(tree: dom.Layout, measures: dict[int, dict]) -> list[bool]:
         return [
             article[k] and k in measures and (_words(tree.labels[k])[0] in FLOW or not constant(measures[k])) for k in range(n)
         ]
-    varies = [
+    return [
         k in measures and not apart[k] and not constant(measures[k]) and measures[k]["linked"] <= LINKED * measures[k]["chars"]
         for k in range(n)
     ]
-    weight = [measures[k]["chars"] if varies[k] else 0 for k in range(n)]
-    for node in range(n - 1, 0, -1):
-        weight[tree.parents[node]] += weight[node]
-    # From the root down to the last part that still holds most of the text.
-    top = 0
-    while heavy := [c for c in tree.children[top] if tree.children[c] and weight[c] > DOMINANT * weight[0]]:
-        top = heavy[0]
-    held = [k == top for k in range(n)]
-    for node in range(top + 1, n):
-        held[node] = held[tree.parents[node]]
-    return [h and v for h, v in zip(held, varies)]
 
 
 def _parsed(html: str | None) -> tuple[str, list[tuple[int, str, int]]]:
