@@ -19,7 +19,8 @@ from bucketlens.plans.sections import (
     sum_sections,
 )
 from bucketlens.session import staged
-from bucketlens.sinks.metrics import read_daily_metrics, upsert_daily_metrics
+from bucketlens.sinks.metrics import DOCUMENT_SCHEMA, as_json_documents
+from bucketlens.sinks.published import Pointer, newest, read_store, replace_days
 from bucketlens.sources.log_text import scan_access_log
 
 # Log columns the metrics are made of.
@@ -93,20 +94,26 @@ def document_rows(summaries: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def store_days(rows: DataFrame, out: str) -> None:
-    """Insert or replace the days' summaries and values."""
-    upsert_daily_metrics(daily_values(rows), f"{out}/values")
-    upsert_daily_metrics(daily_summaries(rows), f"{out}/summaries")
+    """Insert or replace the days' summaries, values and JSON documents, all in one step."""
+    stores = {"values": daily_values(rows), "summaries": daily_summaries(rows), "documents": as_json_documents(rows)}
+    replace_days(rows.sparkSession, out, stores)
 
 
-def read_summaries(spark: SparkSession, out: str) -> DataFrame:
+def read_summaries(spark: SparkSession, out: str, pointer: Pointer | None = None) -> DataFrame:
     kinds = {"date": T.DateType(), "scope": T.StringType(), "folder": T.StringType()}
     schema = T.StructType([T.StructField(c, kinds.get(c, T.LongType())) for c in [*kinds, *S.DAILY_METRICS]])
-    return read_daily_metrics(spark, f"{out}/summaries", schema)
+    return read_store(spark, out, "summaries", schema, pointer)
+
+
+def read_documents(spark: SparkSession, out: str) -> DataFrame:
+    """The stored days as JSON documents: date, part, summary, folders, meta_downloads."""
+    return read_store(spark, out, "documents", DOCUMENT_SCHEMA)
 
 
 def read_days(spark: SparkSession, out: str) -> DataFrame:
-    """The stored days in long form."""
-    return document_rows(read_summaries(spark, out), read_daily_metrics(spark, f"{out}/values", DAILY_ROWS_SCHEMA))
+    """The stored days in long form, both stores as one run left them."""
+    pointer = newest(spark, out)
+    return document_rows(read_summaries(spark, out, pointer), read_store(spark, out, "values", DAILY_ROWS_SCHEMA, pointer))
 
 
 def daily_job(
@@ -118,7 +125,7 @@ def daily_job(
     ``lenient``; ``bad_times`` counts such rows.
     """
     rows = daily_metrics(prepare(filter_object_requests(logs), lenient=lenient, bad_times=bad_times), geo, written=True)
-    # Stored in two shapes, computed once.
+    # Stored in three shapes, computed once.
     computed = staged(rows, "daily-rows")
     store_days(computed, out)
     return read_days(spark, out)

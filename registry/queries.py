@@ -16,6 +16,7 @@ from bucketlens.operators.geo import resolve_addresses, with_country
 from bucketlens.operators.locations import location_histogram
 from bucketlens.operators.prepare import derive_key_components, exclude_meta_files
 from bucketlens.plans import daily_job as D
+from bucketlens.plans import rollups as V
 from bucketlens.plans import usage_report as U
 from bucketlens.session import staged, work_dir
 from bucketlens.sinks import extracts as X
@@ -24,6 +25,7 @@ from bucketlens.sources import log_text as L
 from bucketlens.sources import results as SR
 from bucketlens.streaming import incremental as I
 from registry import log_files
+from registry.windows import WINDOWS
 from registry.tables import (
     WINDOW_END,
     WINDOW_START,
@@ -384,6 +386,59 @@ def incremental_daily_metrics(spark, sf_dir):
     return _dates_as_text(store)
 
 
+def settled_daily_metrics(spark, sf_dir):
+    """Five runs of a fifth of the requests' files each: levels are merged, then all days closed."""
+    logs, base, state = access_log(spark, sf_dir), work_dir(spark, "logs"), work_dir(spark, "incremental")
+    lookup = geo(spark, sf_dir)
+    for part in range(5):
+        log_files.write_log_tree(logs.where(F.pmod(F.xxhash64("requestid"), F.lit(5)) == part), base)
+        I.run_incremental(spark, base, lookup, state)
+    I.settle_days(spark, lookup, state)
+    return _dates_as_text(I.read_metrics(spark, lookup, state))
+
+
+def _rolled_up(spark, sf_dir):
+    """Roll-ups of all days, stored in two runs, and of the months in them."""
+    path, requests = work_dir(spark, "rollups"), prepared(spark, sf_dir)
+    for part in (requests.where(F.col(DAY) < WINDOW_START), requests.where(F.col(DAY) >= WINDOW_START)):
+        V.store_days(spark, part, path)
+    V.store_months(spark, path)
+    return path
+
+
+def _of_windows(windows):
+    """The rows of every window, with its two ends."""
+    named = [rows.select(F.lit(start).alias("window_start"), F.lit(end).alias("window_end"), *rows.columns) for (start, end), rows in windows]
+    merged = named[0]
+    for rows in named[1:]:
+        merged = merged.unionByName(rows)
+    return merged
+
+
+def window_metrics_from_days(spark, sf_dir):
+    path = _rolled_up(spark, sf_dir)
+    return _of_windows([(w, V.window_metrics(spark, path, *w)) for w in WINDOWS])
+
+
+def window_metrics_by_folder_from_days(spark, sf_dir):
+    path = _rolled_up(spark, sf_dir)
+    return _of_windows([(w, V.window_metrics(spark, path, *w, by_folder=True)) for w in WINDOWS])
+
+
+def window_distinct_estimates(spark, sf_dir):
+    """Exact distinct counts of every window, and whether the estimate is within its tolerance."""
+    path = _rolled_up(spark, sf_dir)
+    judged = []
+    for window in WINDOWS:
+        exact = V.window_metrics(spark, path, *window, by_folder=True)
+        listed = exact.select(FOLDER, F.stack(F.lit(len(V.DISTINCT)), *(x for m in V.DISTINCT for x in (F.lit(m), F.col(m)))).alias("metric", "n"))
+        estimates = V.window_estimates(spark, path, *window, by_folder=True)
+        found = listed.where("n > 0").join(estimates, [FOLDER, "metric"], "left")
+        within = F.coalesce(F.abs(F.col("estimate") - F.col("n")) <= F.col("tolerance"), F.lit(False))
+        judged.append((window, found.select(FOLDER, "metric", "n", within.alias("within_tolerance"))))
+    return _of_windows(judged)
+
+
 def usage_report(spark, sf_dir):
     base = log_files.write_log_tree(access_log(spark, sf_dir))
     report = U.usage_report(spark, base, WINDOW_START, WINDOW_END, geo(spark, sf_dir), work_dir(spark, "report"))
@@ -395,6 +450,13 @@ def daily_job(spark, sf_dir):
     return _dates_as_text(store)
 
 
+def daily_documents(spark, sf_dir):
+    """The JSON documents that the daily job stores, read back entry by entry."""
+    path = work_dir(spark, "daily")
+    D.daily_job(spark, access_log(spark, sf_dir), geo(spark, sf_dir), path)
+    return _dates_as_text(W.document_entries(D.read_documents(spark, path)))
+
+
 QUERIES: dict[str, Query] = {
     "parse_access_log": parse_access_log,
     "scan_day_partitions": scan_day_partitions,
@@ -473,6 +535,11 @@ QUERIES: dict[str, Query] = {
     "summary_sentences": summary_sentences,
     "yearly_extract": yearly_extract,
     "incremental_daily_metrics": incremental_daily_metrics,
+    "settled_daily_metrics": settled_daily_metrics,
+    "window_metrics_from_days": window_metrics_from_days,
+    "window_metrics_by_folder_from_days": window_metrics_by_folder_from_days,
+    "window_distinct_estimates": window_distinct_estimates,
     "usage_report": usage_report,
     "daily_job": daily_job,
+    "daily_documents": daily_documents,
 }

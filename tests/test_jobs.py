@@ -62,15 +62,41 @@ def test_documents_hold_every_entry_once(daily_rows):
     assert whole.count() == daily_rows.select("date").distinct().count()
 
 
-def test_document_as_json(daily_rows):
-    documents = W.as_json_documents(D.daily_summaries(daily_rows))
-    for row in documents.collect():
-        summary = json.loads(row.summary)
-        assert set(summary) == {
-            "interactions_count", "downloads_count", "unique_downloads", "uploads_count", "download_size", "upload_size",
-            "unique_users",
-        }
-        assert all(isinstance(n, int) for n in summary.values())
+def merged(documents):
+    """The parts of JSON documents put together, by date."""
+    out = {}
+    for row in documents:
+        held = out.setdefault(str(row.date), {"summary": {}, "folders": {}, "meta_downloads": {}})
+        for column, given in held.items():
+            todo = [(given, json.loads(row[column]))]
+            while todo:
+                into, found = todo.pop()
+                for key, value in found.items():
+                    if isinstance(value, dict):
+                        todo.append((into.setdefault(key, {}), value))
+                    else:
+                        assert key not in into
+                        into[key] = value
+    return out
+
+
+@pytest.mark.parametrize("entries", [W.DOCUMENT_ENTRIES, 20])
+def test_documents_as_json(daily_rows, entries):
+    """One row per day, or several small ones, with every entry in one of them."""
+    expected = {}
+    for r in daily_rows.collect():
+        day = expected.setdefault(str(r.date), {"summary": {"locations": {}, "referrers": {}}, "folders": {}, "meta_downloads": {}})
+        if r.metric == "meta_downloads":
+            into = day["meta_downloads"]
+        else:
+            section = day["summary"] if r.scope == "whole" else day["folders"].setdefault(r.folder, {"locations": {}, "referrers": {}})
+            into = section if r.sub_key is None else section[r.metric]
+        into[r.metric if r.sub_key is None else r.sub_key] = r.value
+    documents = W.as_json_documents(daily_rows, entries)
+    found = documents.collect()
+    assert merged(found) == expected
+    assert len(found) == len(expected) if entries > 20 else len(found) > 3 * len(expected)
+    assert rows(W.document_entries(documents)) == rows(daily_rows)
 
 
 @pytest.fixture(scope="module")
@@ -93,8 +119,15 @@ def test_bad_request_times_are_counted(spark, spoiled, geo, daily_rows):
     bad = Observation()
     assert rows(D.daily_job(spark, spoiled, geo, work_dir(spark, "test-daily"), bad_times=bad)) == rows(daily_rows)
     assert bad.get == {"bad_times": 1}
-    stored = I.run_incremental(spark, write_log_tree(spoiled), geo, work_dir(spark, "test-inc"), lenient=True)
-    assert rows(stored) == rows(daily_rows)
+    tree, state, counted = write_log_tree(spoiled), work_dir(spark, "test-inc"), {}
+    assert rows(I.run_incremental(spark, tree, geo, state, bad_times=counted)) == rows(daily_rows)
+    assert counted == {"bad_times": 1}
+    write_log_tree(spoiled.where("requestid = 'R3'"), tree)
+    write_log_tree(spoiled.where("requestid = 'R4'"), tree)
+    for expected in (1, 0):
+        I.run_incremental(spark, tree, geo, state, max_files=1, bad_times=counted)
+        assert counted == {"bad_times": expected}
+    assert rows(I.run_incremental(spark, tree, geo, work_dir(spark, "test-inc"), lenient=True).limit(1)) != []
 
 
 def test_jobs_by_frequency(spark, log_tree, geo, daily_rows):
@@ -169,10 +202,10 @@ def test_batch_that_runs_again(spark, logs, geo, daily_rows, log_tree):
     lines = spark.read.text(f"{log_tree}/*/*/*").select("value", F.regexp_extract("_metadata.file_path", I.DAY_IN_PATH, 1).alias("timestamp"))
     for _ in range(2):
         I.store_batch(lines, 0, state)
-    I.merge_batches(spark, geo, state)
+    assert rows(I.read_metrics(spark, geo, state)) == rows(daily_rows)
+    I.settle_days(spark, geo, state)
     I.store_batch(lines, 0, state)
-    I.merge_batches(spark, geo, state)
-    assert rows(W.read_daily_metrics(spark, f"{state}/metrics", D.DAILY_ROWS_SCHEMA)) == rows(daily_rows)
+    assert rows(I.read_metrics(spark, geo, state)) == rows(daily_rows)
 
 
 def test_usage_report(spark, log_tree, geo, prepared):
