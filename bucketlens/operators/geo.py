@@ -20,6 +20,8 @@ MOST_CODES, CODE_BITS = 1_000, 16
 # Prefixes of at most so many digits number 139,810 at most, whatever the table: they
 # are always sent. Each of them may hold any share of the addresses.
 WIDE_DIGITS = 4
+# Requests meet a table in place by a join per length of prefix, up to so many.
+MOST_JOINS = 8
 # A longer prefix's addresses are dealt over so many tasks.
 COPIES = 8
 
@@ -58,11 +60,15 @@ def _texts(values: list[str]) -> Column:
     return F.array(*(F.lit(v) for v in values)).cast("array<string>")
 
 
-def geo_table(ranges: DataFrame | None = None, networks: DataFrame | None = None) -> GeoTable:
-    """Lookup table from IPv4 ranges and / or networks in CIDR notation.
+def geo_table(
+    ranges: DataFrame | None = None, networks: DataFrame | None = None, address_ranges: DataFrame | None = None
+) -> GeoTable:
+    """Lookup table from ranges and / or networks in CIDR notation.
 
-    ``ranges``: range_start BIGINT, range_end BIGINT, iso_code.
+    ``ranges``: range_start BIGINT, range_end BIGINT (IPv4), iso_code.
     ``networks``: network (``a.b.c.d/n`` or ``a:b::/n``), iso_code.
+    ``address_ranges``: first_address, last_address (text, IPv4 or IPv6, both included),
+    iso_code. Ranges of two families, or that end before they start, hold nothing.
     """
     parts = []
     if ranges is not None:
@@ -70,6 +76,12 @@ def geo_table(ranges: DataFrame | None = None, networks: DataFrame | None = None
     if networks is not None:
         parts.append(_range_prefixes(_ipv4_networks(networks)))
         parts.append(_ipv6_prefixes(networks))
+    if address_ranges is not None:
+        ends = _hex_ends(address_ranges)
+        parts.append(_range_prefixes(_ipv4_ranges(ends)))
+        # Widths of any number of addresses as 32 digits, which sort as the numbers do.
+        parts = [p.withColumn("width", _wide(p)) for p in parts]
+        parts.append(_ipv6_range_prefixes(ends))
     pieces = parts[0]
     for part in parts[1:]:
         pieces = pieces.unionByName(part)
@@ -79,7 +91,8 @@ def geo_table(ranges: DataFrame | None = None, networks: DataFrame | None = None
     size = F.sum(F.octet_length("prefix") + F.octet_length("code") + ROW_BYTES)
     found = pieces.agg(F.collect_set(kind), F.coalesce(size, F.lit(0)), F.approx_count_distinct("code")).first()
     lengths = {family: sorted(length for f, length in found[0] if f == family) for family in ("4", "6")}
-    codes = sorted(r[0] for r in pieces.select("code").distinct().collect()) if found[2] <= MOST_CODES else []
+    numbered = address_ranges is None and found[2] <= MOST_CODES
+    codes = sorted(r[0] for r in pieces.select("code").distinct().collect()) if numbered else []
     match = F.struct("width", "code")
     if codes:
         match = F.shiftleft("width", CODE_BITS) + F.array_position(_texts(codes), F.col("code")) - 1
@@ -128,6 +141,99 @@ def _range_prefixes(ranges: DataFrame) -> DataFrame:
     return numbers.select(prefix.alias("prefix"), "width", "iso_code")
 
 
+def _worked_out(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns out of a generator, so that what uses them does not work them out again and again."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
+def _hex_ends(address_ranges: DataFrame) -> DataFrame:
+    """Both ends as family digit and hexadecimal digits, where they are of one family and in order."""
+    first = A.with_address_text(address_ranges.select("first_address", "last_address", "iso_code"), F.col("first_address"), "_hex")
+    first = _worked_out(first, _first=F.col("_hex")).drop("_hex")
+    last = A.with_address_text(first, F.col("last_address"), "_hex")
+    both = _worked_out(last, _last=F.col("_hex")).drop("_hex")
+    same_family = F.substring("_first", 1, 1) == F.substring("_last", 1, 1)
+    return both.where(same_family & (F.col("_first") <= F.col("_last"))).select("_first", "_last", "iso_code")
+
+
+def _ipv4_ranges(ends: DataFrame) -> DataFrame:
+    numbers = (F.conv(F.substring(c, 2, A.IPV4_DIGITS), 16, 10).cast("bigint") for c in ("_first", "_last"))
+    start, end = numbers
+    return ends.where(F.col("_first").startswith("4")).select(start.alias("range_start"), end.alias("range_end"), "iso_code")
+
+
+def _ipv6_range_prefixes(ends: DataFrame) -> DataFrame:
+    """Cut IPv6 ranges into hexadecimal prefixes, at most 944 per range.
+
+    Below the digits that both ends share, a range is what lies between the two digits
+    that differ, what follows the first end within its digit, and what comes before the
+    last end within its own. Ends of zeros, or of the highest digits, need no cutting.
+    """
+    s, e = F.col("_s"), F.col("_e")
+    shared, low, high = F.col("_shared"), F.col("_low"), F.col("_high")
+
+    def digit(text: Column, k: Column) -> Column:
+        return F.conv(F.substring(text, k, F.lit(1)), 16, 10).cast("int")
+
+    def numbers(first: Column, last: Column) -> Column:
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+    def children(text: Column, k: Column, first: Column, last: Column) -> Column:
+        """The first ``k - 1`` digits of ``text``, each time with one digit from ``first`` to ``last``."""
+        stem = F.substring(text, F.lit(1), k - 1)
+        return F.transform(numbers(first, last), lambda d: F.concat(stem, F.lower(F.hex(d))))
+
+    def stem(text: Column, end: Column) -> Column:
+        return F.array(F.substring(text, F.lit(1), F.greatest(end, shared + 1)))
+
+    place = F.sequence(F.lit(1), F.lit(A.IPV6_DIGITS))
+    cut = _worked_out(
+        ends.where(F.col("_first").startswith("6")), _s=F.substring("_first", 2, A.IPV6_DIGITS), _e=F.substring("_last", 2, A.IPV6_DIGITS)
+    )
+    cut = _worked_out(
+        cut,
+        _shared=F.size(F.filter(place, lambda k: F.substring(s, F.lit(1), k) == F.substring(e, F.lit(1), k))),
+        _low=F.length(F.rtrim(s, F.lit("0"))),
+        _high=F.length(F.rtrim(e, F.lit("f"))),
+        width=_difference(e, s),
+    )
+    differ = shared + 1
+    pieces = F.concat(
+        children(s, differ, digit(s, differ) + 1, digit(e, differ) - 1),
+        stem(s, low),
+        F.flatten(F.transform(numbers(shared + 2, low), lambda k: children(s, k, digit(s, k) + 1, F.lit(15)))),
+        stem(e, high),
+        F.flatten(F.transform(numbers(shared + 2, high), lambda k: children(e, k, F.lit(0), digit(e, k) - 1))),
+    )
+    block = (low <= shared) & (high <= shared)
+    prefixes = F.when(block, F.array(F.substring(s, F.lit(1), shared))).otherwise(pieces)
+    return cut.select(F.explode(prefixes).alias("_piece"), "width", "iso_code").select(
+        F.concat(F.lit("6"), "_piece").alias("prefix"), "width", "iso_code"
+    )
+
+
+def _difference(larger: Column, smaller: Column) -> Column:
+    """Difference of two 128-bit numbers of 32 hexadecimal digits, in four parts with a borrow."""
+    parts, borrow = [], F.lit(0)
+    for begin in range(A.IPV6_DIGITS - 7, 0, -8):
+        a, b = (F.conv(F.substring(x, begin, 8), 16, 10).cast("bigint") for x in (larger, smaller))
+        part = a - b - borrow
+        borrow = F.when(part < 0, 1).otherwise(0)
+        parts.insert(0, F.lower(F.lpad(F.hex(part + borrow * F.lit(1 << 32)), 8, "0")))
+    return F.concat(*parts)
+
+
+def _wide(pieces: DataFrame) -> Column:
+    """Number of addresses less one, as 32 hexadecimal digits.
+
+    ``width`` is the number of addresses for IPv4, that of open bits for IPv6.
+    """
+    count, bits = F.hex(F.col("width") - 1), F.col("width").cast("int")
+    ones = F.concat(F.element_at(_texts(["", "1", "3", "7"]), bits % 4 + 1), F.repeat(F.lit("f"), F.call_function("div", bits, F.lit(4)).cast("int")))
+    digits = F.when(F.col("prefix").startswith("4"), F.lower(count)).otherwise(ones)
+    return F.lpad(digits, A.IPV6_DIGITS, "0")
+
+
 def _ipv4_networks(networks: DataFrame) -> DataFrame:
     size = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(32) - F.col("_bits"))
     base = F.conv(F.col("_hex"), 16, 10).cast("bigint")
@@ -224,18 +330,42 @@ def _resolve_by_shuffle(keyed: DataFrame, geo: GeoTable, address: Column) -> Dat
     return joined.select(*keyed.columns, geo.country(F.col("_match")))
 
 
+def _locate_in_place(requests: DataFrame, geo: GeoTable, ip: str, lengths: list[int]) -> DataFrame:
+    """Country of every row without a shuffle: one broadcast join per length of prefix.
+
+    The table goes out once in all, each part holding the prefixes of one length.
+    """
+    located = A.with_address_text(requests, F.col(ip), "_hex")
+    # Out of a generator, so that no join works the text out anew.
+    located = located.select(*requests.columns, F.explode(F.array("_hex")).alias("_address"))
+    found = []
+    for length in lengths:
+        of_length = geo.prefixes.where(F.length("prefix") == length)
+        part = of_length.select(F.col("prefix").alias(f"_prefix{length}"), F.col("match").alias(f"_match{length}"))
+        located = located.join(F.broadcast(part), F.substring("_address", 1, length) == F.col(f"_prefix{length}"), "left")
+        found.append(F.col(f"_match{length}"))
+    if not found:
+        return requests.withColumn("country", F.lit(S.NO_COUNTRY))
+    match = F.least(*found) if len(found) > 1 else found[0]
+    return located.select(*requests.columns, match.alias("_match")).select(*requests.columns, geo.country(F.col("_match")))
+
+
 def with_country(
     requests: DataFrame, geo: GeoTable, ip: str = "remoteip", broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Add ``country`` to every request.
-
-    Addresses are counted and each distinct one is looked up once; that table is
-    written to the shared folder. If it is small it is sent to the requests, which
-    then stay where they are. Otherwise it is joined by a shuffle, except for hot
-    addresses: their rows meet a broadcast copy of at most ``MOST_HOT`` rows and are
-    spread by their place in the input, like rows without an address, so that one busy
-    address does not fill one task.
+    """Add ``country`` to every request, which is read once.
+
+    A table that can be sent and has few lengths of prefix (IPv4 has eight) is met by
+    the requests where they are. For any other they are written to the shared folder first; addresses are counted and each
+    distinct one is looked up once. If the addresses found are few they are sent.
+    Otherwise they are joined by a shuffle, except for hot addresses: their rows meet a
+    broadcast copy of at most ``MOST_HOT`` rows and are spread by their place in the
+    input, like rows without an address, so that one busy address does not fill one task.
     """
+    lengths = sorted({n for found in geo.lengths.values() for n in found})
+    if geo.broadcastable and len(lengths) <= MOST_JOINS:
+        return _locate_in_place(requests, geo, ip, lengths)
+    requests = staged(requests, "requests")
     counted = requests.where(F.col(ip).isNotNull()).groupBy(F.col(ip).alias("_ip")).agg(F.count(F.lit(1)).alias("_n"))
     found = staged(resolve_addresses(counted, geo, ["_ip"], F.col("_ip")).withColumnRenamed("country", "_country"), "addresses")
     text = F.octet_length("_ip") + F.octet_length("_country") + ROW_BYTES

@@ -127,7 +127,8 @@ def test_hot_address_and_missing_addresses(spark, table, networks, ranges, broad
     """One address with most of the rows, and many rows without any."""
     addresses = ["10.0.0.1"] * 3000 + [None] * 1500 + near_addresses(random.Random(5), 300)
     requests = spark.createDataFrame([(i, a) for i, a in enumerate(addresses)], "i int, remoteip string")
-    looked_up = {r.i: r.country for r in G.with_country(requests, table, broadcast_bytes=broadcast_bytes, hot_rows=50).collect()}
+    large = replace(table, broadcastable=False)
+    looked_up = {r.i: r.country for r in G.with_country(requests, large, broadcast_bytes=broadcast_bytes, hot_rows=50).collect()}
     assert looked_up == {i: country_of(a, networks, ranges) for i, a in enumerate(addresses)}
 
 
@@ -188,7 +189,94 @@ def test_shuffled_country_of_a_single_column_without_hot_tasks(spark, table, man
     requests = spark.range(9_000).selectExpr(
         "CASE id % 3 WHEN 0 THEN '10.1.0.7' WHEN 1 THEN NULL ELSE concat_ws('.', 10, id % 250, id % 7, id % 200) END AS remoteip"
     )
-    located = G.with_country(requests, table, broadcast_bytes=0, hot_rows=500)
+    located = G.with_country(requests, replace(table, broadcastable=False), broadcast_bytes=0, hot_rows=500)
     sizes = partition_sizes(located)
     assert sum(sizes) == 9_000 and max(sizes) < 2.5 * 9_000 / 12
     assert rows(located) == rows(G.with_country(requests, table))
+
+
+def test_requests_are_read_once(spark, tables, geo):
+    """A table that is sent meets the requests where they are: one scan, no shuffle."""
+    from registry.tables import prepared as derive
+
+    plan = physical_plan(G.with_country(spark.read.parquet(f"{tables}/events.parquet").selectExpr("event_id", "'10.0.0.1' AS remoteip"), geo))
+    assert plan.count("FileScan parquet [event_id") == 1 and "Exchange hashpartitioning" not in plan.split("BroadcastExchange")[0]
+    assert physical_plan(G.with_country(derive(spark, tables), geo)).count("regexp_extract(props") == 1
+
+
+def number(address):
+    return int(ipaddress.ip_address(address))
+
+
+@pytest.fixture(scope="module")
+def address_ranges():
+    """Ranges that nest, touch, cross the halves, and odd ones."""
+    draw = random.Random(9)
+    base = 0x2001 << 112
+    found = [
+        ("2001::", "2001::ffff:ffff:ffff:ffff", "HA"), ("2001::ffff:ffff:ffff:fff0", "2001:0:0:1::f", "XX"), ("::", "ffff:" * 7 + "ffff", "ALL"),
+        ("2001::7", "2001::7", "ONE"), ("2001::8", "2001::7", "NO"), ("10.0.0.0", "2001::", "NO"), ("bad", "2001::1", "NO"), (None, "::1", "NO"),
+        ("0.0.0.0", "255.255.255.255", "V4"), ("10.0.0.3", "10.0.1.200", None), ("::ffff:10.0.0.9", "::ffff:10.0.0.12", "MAP"),
+    ]
+    for k in range(60):
+        first = base + (draw.getrandbits(3) << 63) + draw.choice([0, 1, draw.getrandbits(9), 2**64 - draw.randint(1, 40)])
+        last = first + draw.choice([0, 1, 15, 16, draw.getrandbits(9), draw.getrandbits(66)])
+        found.append((str(ipaddress.IPv6Address(first)), str(ipaddress.IPv6Address(last)), f"C{k}"))
+    return found
+
+
+def plain_lookup(address, address_ranges):
+    """Country of the narrowest range; of equal ones the first code in order."""
+    key, best = address_key(address), None
+    for first, last, iso in address_ranges:
+        ends = address_key(first), address_key(last)
+        if key and all(ends) and ends[0][0] == ends[1][0] == key[0] and ends[0] <= key <= ends[1]:
+            candidate = (int(ends[1][1:], 16) - int(ends[0][1:], 16), iso or "")
+            best = min(best, candidate) if best else candidate
+    return (best[1] if best else "") or "N/A"
+
+
+@pytest.mark.parametrize("broadcastable", [True, False])
+def test_ranges_of_any_family(spark, address_ranges, networks, broadcastable):
+    ranges = spark.createDataFrame(address_ranges, "first_address string, last_address string, iso_code string")
+    table = G.geo_table(address_ranges=ranges)
+    draw = random.Random(4)
+    asked = [*ODD, "10.0.0.2", "10.0.0.3", "10.0.0.10", "10.0.1.200", "10.0.1.201"]
+    for first, last, _ in address_ranges:
+        if address_key(first) and address_key(last) and ":" in first and ":" in last and number(first) <= number(last):
+            inside = number(first) + draw.randrange(number(last) - number(first) + 1)
+            for n in (number(first) - 1, number(first), inside, number(last), number(last) + 1):
+                if 0 <= n < 2**128:
+                    asked.append(str(ipaddress.IPv6Address(n)))
+    requests = spark.createDataFrame(list(enumerate(asked)), "i int, remoteip string")
+    found = {r.i: r.country for r in G.with_country(requests, replace(table, broadcastable=broadcastable)).collect()}
+    assert found == {i: plain_lookup(a, address_ranges) for i, a in enumerate(asked)}
+
+
+def test_pieces_of_an_ipv6_range(spark, address_ranges):
+    """The pieces of each range are next to each other and cover just the range."""
+    numbered = [(first, last, str(k)) for k, (first, last, _) in enumerate(address_ranges)]
+    ranges = spark.createDataFrame(numbered, "first_address string, last_address string, iso_code string")
+    found = {}
+    for r in G._ipv6_range_prefixes(G._hex_ends(ranges)).collect():
+        found.setdefault(int(r.iso_code), []).append((int(r.prefix[1:].ljust(32, "0"), 16), 16 ** (33 - len(r.prefix)), int(r.width, 16)))
+    for k, (first, last, _) in enumerate(address_ranges):
+        keys = address_key(first), address_key(last)
+        if not all(keys) or keys[0][0] != "6" or keys[1][0] != "6" or keys[0] > keys[1]:
+            assert k not in found
+            continue
+        pieces = sorted(found[k])
+        assert pieces[0][0] == number(first) and pieces[-1][0] + pieces[-1][1] - 1 == number(last) and len(pieces) <= 944
+        assert all(a + n == b for (a, n, _), (b, _, _) in zip(pieces, pieces[1:]))
+        assert {w for *_, w in pieces} == {number(last) - number(first)}
+
+
+def test_ranges_and_networks_together(spark):
+    """Widths of both families and of all three kinds of input are compared as numbers of addresses."""
+    networks = spark.createDataFrame([("2001::/20", "A"), ("2001::/64", "B"), ("10.0.0.0/8", "C"), ("10.0.0.0/30", "D")], "network string, iso_code string")
+    ranges = spark.createDataFrame([(10 << 24, (10 << 24) + 255, "E")], "range_start bigint, range_end bigint, iso_code string")
+    given = [("2001::", "2001:0:1::", "F"), ("2001::", "2001::ffff", "G"), ("10.0.0.0", "10.0.0.9", "H"), ("2001::", "2001::ffff:ffff:ffff:ffff", "Z")]
+    table = G.geo_table(ranges, networks, spark.createDataFrame(given, "first_address string, last_address string, iso_code string"))
+    asked = {"2001::1": "G", "2001::1:0": "B", "2001:0:0:1::": "F", "2001:0:1::1": "A", "10.0.0.1": "D", "10.0.0.5": "H", "10.0.0.99": "E", "10.9.0.0": "C"}
+    requests = spark.createDataFrame([(a,) for a in asked], "remoteip string")
+    assert {r.remoteip: r.country for r in G.with_country(requests, table).collect()} == asked
