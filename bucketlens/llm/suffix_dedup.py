@@ -9,9 +9,15 @@ Of runs with the same bytes one is compared with others. Runs of a key are broug
 together, and their suffixes are put in order by prefix doubling up to ``min_bytes``.
 The longest previous factor of a suffix reaches ``min_bytes`` exactly if its block of
 equal prefixes holds an earlier position; in a block sorted by position, the previous
-smaller position is the entry before it, and the next entry is a later match. Runs of
-a key with very many different surroundings aren't brought to one task: their windows
-are compared by a 128-bit hash, counted before the shuffle.
+smaller position is the entry before it, and the next entry is a later match.
+
+A key may have more different runs than one task should hold, as where a passage
+stands in very many texts. Such a key is divided until its parts fit: all windows that
+hold the key's gram at about the same offset share a core, the bytes common to all
+those offsets, so only stretches of windows with equal cores need to meet. Cores grow
+with every round until they are the window itself. Of equal stretches one goes on, and
+stretches whose core stands alone are settled, so rows follow the input in every round.
+Equal stretches are told by 128-bit digests, next to their key and length.
 """
 
 import hashlib
@@ -28,8 +34,9 @@ from bucketlens.llm.common import spread_join
 from bucketlens.session import staged
 
 GRAM = 32
-# A key whose runs have more bytes than this is compared by window hashes.
+# A key whose runs have more bytes than this is divided, in rounds: offsets that share a core.
 CROWDED_BYTES = 1 << 20
+CORE_OFFSETS = (64, 16, 4, 1)
 # Bytes whose suffixes are put in order at a time.
 ORDERED_BYTES = 1 << 21
 _ODD = [np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
@@ -132,6 +139,89 @@ def _spans(of: np.ndarray, offset: np.ndarray, chosen: np.ndarray, begins: np.nd
     return of[first], begins[of[first]] + offset[first], begins[of[last]] + offset[last] + min_bytes
 
 
+def core_stretches(context: bytes, key: int, offset: int | None, windows: int, min_bytes: int, width: int) -> Iterator[tuple[int, int, int, bytes, bytes]]:
+    """Stretches of a context's windows whose offsets share a core: first window, windows, its offset, core, bytes.
+
+    The offset of a window is where the key's gram first stands in it; ``offset`` is
+    that of the first window, if there is one gram for all.
+    """
+    at = np.arange(windows)
+    if offset is None:
+        places = np.flatnonzero(gram_hashes(np.frombuffer(context, dtype=np.uint8)) == np.uint64(key & (2**64 - 1)))
+        anchors = places[np.searchsorted(places, at)]
+    else:
+        anchors = np.full(windows, offset)
+    block = (anchors - at) // width
+    new = np.flatnonzero(np.concatenate([[True], (anchors[1:] != anchors[:-1]) | (block[1:] != block[:-1])]))
+    for first, last in zip(new.tolist(), [*new[1:].tolist(), windows]):
+        begin = int(anchors[first] - block[first] * width)
+        core = xxhash.xxh3_128_digest(context[begin : begin + min_bytes - width + 1], seed=int(block[first]))
+        yield first, last - first, int(anchors[first]) - first, core, context[first : last - 1 + min_bytes]
+
+
+def _divided(contexts: DataFrame, min_bytes: int, keep_first: bool, crowded_bytes: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Contexts of crowded keys in parts that fit a task, and the spans (_id, _text, start, end) already settled."""
+    names = ["_id", "_text", "start", "windows", "offset", "core", "bytes", "context"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    schema = "_id BIGINT, _text BIGINT, start INT, windows INT, offset INT, core BINARY, bytes BINARY, context BINARY"
+
+    def split(width: int, with_offset: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    found = []
+                    pieces = [(0, row["windows"], row["context"])]
+                    if row["windows"] > min_bytes - GRAM + 1:
+                        # More windows than one gram has offsets: the text repeats itself. Of equal
+                        # windows in it one goes on, the others are spans (no core) at once.
+                        of, offset, earlier, later = matches([row["context"]], min_bytes)
+                        marked = earlier if keep_first else earlier | later
+                        begins = np.array([row["start"]])
+                        for _, start, end in zip(*_spans(of, offset, marked, begins, min_bytes)):
+                            found.append((row["_id"], row["_text"], start, end - start - min_bytes + 1, None, None, None, None))
+                        _, starts, ends = _spans(of, offset, ~earlier, np.array([0]), min_bytes)
+                        pieces = [(a, b - a - min_bytes + 1, row["context"][a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+                    for first, windows, context in pieces:
+                        own = row["offset"] - first if with_offset else None
+                        for a, n, o, core, content in core_stretches(context, row["key"], own, windows, min_bytes, width):
+                            digest = xxhash.xxh3_128_digest(content)
+                            found.append((row["_id"], row["_text"], row["start"] + first + a, n, o, core, digest, content))
+                    if found:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
+
+        return run
+
+    fitting, settled = [], []
+    place, end = F.struct("_id", "_text", "start"), (F.col("start") + F.col("windows") + (min_bytes - 1)).cast("int").alias("end")
+    same_bytes = ["core", "bytes", "windows", "offset"]
+    waiting = staged(contexts.withColumn("offset", F.lit(None).cast("int")), "suffix-crowded")
+    for number, width in enumerate(CORE_OFFSETS):
+        if waiting.isEmpty():
+            break
+        blocks = staged(waiting.mapInArrow(split(width, number > 0), schema), "suffix-blocks")
+        settled.append(blocks.where("core IS NULL").select("_id", "_text", "start", end))
+        contents = blocks.where("core IS NOT NULL").groupBy(*same_bytes).agg(
+            F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"), F.first("context").alias("context")
+        )
+        contents = staged(contents, "suffix-contents")
+        repeated = contents.where("copies > 1").select(*same_bytes, "first")
+        copied = spread_join(blocks.select("_id", "_text", "start", *same_bytes), repeated, same_bytes, ["_id", "_text", "start"], copies=4)
+        copied = copied.where("first IS NOT NULL")
+        if keep_first:
+            copied = copied.where(~F.col("first").eqNullSafe(place))
+        settled.append(copied.select("_id", "_text", "start", end))
+        size = F.sum(F.octet_length("context").cast("bigint")).alias("size")
+        groups = contents.groupBy("core").agg(F.count(F.lit(1)).alias("different"), size).where("different > 1")
+        told = spread_join(contents, groups, ["core"], ["bytes", "offset"], copies=4).where("different IS NOT NULL")
+        # Parts are brought together by the core; a clash of its first half only puts two into one task.
+        half = F.conv(F.hex(F.substring("core", 1, 8)), 16, -10).cast("bigint").alias("key")
+        told = told.select("first.*", half, "windows", "offset", "context", (F.col("size") > crowded_bytes).alias("crowded"))
+        told = staged(told, "suffix-told")
+        fitting.append(told.where("NOT crowded"))
+        waiting = told.where("crowded").drop("crowded")
+    return fitting, settled
+
+
 def repeated_spans(docs: DataFrame, min_bytes: int, keep_first: bool, crowded_bytes: int = CROWDED_BYTES) -> DataFrame:
     """_id, _text, spans (start, end in bytes) of documents that lose something.
 
@@ -146,7 +236,7 @@ def repeated_spans(docs: DataFrame, min_bytes: int, keep_first: bool, crowded_by
         schema = pa.schema(owner_fields + fields)
         return pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    run_fields = [("key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("bytes", pa.int64()), ("again", pa.bool_())]
+    run_fields = [("key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32()), ("bytes", pa.binary()), ("again", pa.bool_())]
 
     def find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,17 +245,17 @@ def repeated_spans(docs: DataFrame, min_bytes: int, keep_first: bool, crowded_by
                 if text is not None and len(text) >= min_bytes:
                     keys, starts, counts, again = window_runs(text, min_bytes)
                     ends = (starts + counts + (min_bytes - 1)).tolist()
-                    digests += [xxhash.xxh3_64_intdigest(text[s:e]) for s, e in zip(starts.tolist(), ends)]
+                    digests += [xxhash.xxh3_128_digest(text[s:e]) for s, e in zip(starts.tolist(), ends)]
                     rows.append(np.full(len(keys), row))
                     found.append((keys, starts, counts, again))
             if not rows:
                 continue
             at = pa.array(np.concatenate(rows))
             keys, starts, counts, again = (np.concatenate(c) for c in zip(*found))
-            columns = [keys.view(np.int64), starts, counts, np.array(digests, dtype=np.uint64).view(np.int64), again]
+            columns = [keys.view(np.int64), starts, counts, digests, again]
             yield batch_of([batch["_id"].take(at), batch["_text"].take(at), *columns], run_fields)
 
-    run_schema = "key BIGINT, start INT, windows INT, bytes BIGINT, again BOOLEAN"
+    run_schema = "key BIGINT, start INT, windows INT, bytes BINARY, again BOOLEAN"
     all_runs = staged(docs.mapInArrow(find_runs, f"{owner}, {run_schema}"), "suffix-runs")
     again = all_runs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("again").alias("self")).where("n > 1 OR self")
     suspects = staged(spread_join(all_runs, again, ["key"], ["_id", "_text", "start"], copies=4).where("n IS NOT NULL").drop("n", "again"), "suffix-suspects")
@@ -244,29 +334,16 @@ def repeated_spans(docs: DataFrame, min_bytes: int, keep_first: bool, crowded_by
         if waiting is not None and waiting.num_rows:
             yield judged(waiting)
 
-    ordered = cut(False).repartition("key").sortWithinPartitions("key", "_id", "_text", "start")
-    near = ordered.mapInArrow(order_suffixes, f"{owner}, start INT, end INT")
-
-    def hash_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                context, first, n = batch["context"][row].as_py(), batch["start"][row].as_py(), batch["windows"][row].as_py()
-                for low in range(0, n, 10_000):
-                    many = min(10_000, n - low)
-                    digests = [xxhash.xxh3_128_digest(context[i : i + min_bytes]) for i in range(low, low + many)]
-                    at = pa.array(np.full(many, row))
-                    yield batch_of(
-                        [batch["_id"].take(at), batch["_text"].take(at), first + low + np.arange(many), digests],
-                        [("start", pa.int32()), ("window", pa.binary())],
-                    )
-
-    hashed = cut(True).mapInArrow(hash_windows, f"{owner}, start INT, window BINARY")
-    seen = hashed.groupBy("window").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
-    crowded = spread_join(hashed, seen, ["window"], ["_id", "_text", "start"], copies=4).where("n IS NOT NULL")
-    if keep_first:
-        crowded = crowded.where(~F.col("first").eqNullSafe(place))
-    alone = crowded.select("_id", "_text", "start", (F.col("start") + min_bytes).cast("int").alias("end"))
-    spans = whole.select("_id", "_text", "start", F.col("end").cast("int").alias("end")).unionByName(near).unionByName(alone)
+    context_columns = ["_id", "_text", "key", "start", "windows", "context"]
+    whole = whole.select("_id", "_text", "start", F.col("end").cast("int").alias("end"))
+    fitting, settled = _divided(cut(True), min_bytes, keep_first, crowded_bytes)
+    together = cut(False)
+    for part in fitting:
+        together = together.unionByName(part.select(*context_columns))
+    ordered = together.repartition("key").sortWithinPartitions("key", "_id", "_text", "start")
+    spans = whole.unionByName(ordered.mapInArrow(order_suffixes, f"{owner}, start INT, end INT"))
+    for part in settled:
+        spans = spans.unionByName(part)
     return spans.groupBy("_id", "_text").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
@@ -339,8 +416,13 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 400, keep_first: bool = Tru
 
 
 def suffix_query(docs: DataFrame, min_bytes: int = 400, crowded_bytes: int = CROWDED_BYTES) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, all copies removed."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept (bytes left), all copies removed.
+
+    A NULL or empty text has 0 bytes and loses none. Repeated rows are copies of each
+    other. No rows give no rows.
+    """
     cut = _with_spans(docs, min_bytes, False, crowded_bytes).select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"), _digest("text", "spans").alias("_c")
     )
-    return cut.select("doc_id", "n_bytes", "_c.n_removed", "_c.n_spans", "_c.kept_sha256")
+    kept = (F.col("n_bytes") - F.col("_c.n_removed")).alias("n_kept")
+    return cut.select("doc_id", "n_bytes", "_c.n_removed", "_c.n_spans", "_c.kept_sha256", kept)

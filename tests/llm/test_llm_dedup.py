@@ -18,13 +18,15 @@ def found(df):
 # Suffix dedup
 
 
-@pytest.mark.parametrize("crowded_bytes", [suffix_dedup.CROWDED_BYTES, 0])
+@pytest.mark.parametrize("crowded_bytes", [suffix_dedup.CROWDED_BYTES, 3_000, 0])
 def test_suffix_dedup_equals_brute_force(awkward, crowded_bytes):
-    got = found(suffix_dedup.suffix_query(awkward, 100, crowded_bytes))
+    query = suffix_dedup.suffix_query(awkward, 100, crowded_bytes)
+    assert query.where("n_kept <> n_bytes - n_removed").isEmpty()
+    got = found(query.drop("n_kept"))
     assert got == sorted(brute_spans(ROWS, 100), key=repr)
 
 
-@pytest.mark.parametrize("crowded_bytes", [suffix_dedup.CROWDED_BYTES, 0])
+@pytest.mark.parametrize("crowded_bytes", [suffix_dedup.CROWDED_BYTES, 3_000, 0])
 def test_suffix_dedup_keeps_the_first(spark, awkward, crowded_bytes):
     rows = sorted({r for r in ROWS if r[0] is not None})
     given = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
@@ -33,12 +35,29 @@ def test_suffix_dedup_keeps_the_first(spark, awkward, crowded_bytes):
     assert sorted((r.doc_id, r.n_removed, r.n_spans, sha(bytes(r.kept))) for r in kept) == expected
 
 
-def test_suffix_dedup_on_periodic_and_shifted_texts(spark):
+@pytest.mark.parametrize("crowded_bytes", [suffix_dedup.CROWDED_BYTES, 2_000, 0])
+def test_suffix_dedup_on_periodic_and_shifted_texts(spark, crowded_bytes):
     draw = random.Random(5)
     base = "".join(draw.choice("ab") for _ in range(900))
     texts = ["a" * 500, "a" * 99, "a" * 100, base, base[37:800], "c" + base[200:420] + "d" + base[100:330], "abc" * 200]
     rows = list(enumerate(texts))
-    got = found(suffix_dedup.suffix_query(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), 100))
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    got = found(suffix_dedup.suffix_query(docs, 100, crowded_bytes).drop("n_kept"))
+    assert got == sorted(brute_spans(rows, 100), key=repr)
+    kept = suffix_dedup.remove_repeats(docs, 100, crowded_bytes=crowded_bytes).collect()
+    expected = [(i, removed, runs, digest) for i, _, removed, runs, digest in brute_spans(rows, 100, first_only=True)]
+    assert sorted((r.doc_id, r.n_removed, r.n_spans, sha(bytes(r.kept))) for r in kept) == expected
+
+
+def test_suffix_dedup_of_a_passage_in_very_many_texts(spark):
+    """A crowded key is divided: the rows of each round follow the number of texts."""
+    draw = random.Random(6)
+    word = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    passage = word(180)
+    rows = [(k, word(draw.randint(60, 160)) + passage[: draw.randint(150, 180)] + word(draw.randint(0, 90))) for k in range(120)]
+    rows += [(1_000 + k, rows[k][1][:200] + "!" + rows[k][1][201:]) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    got = found(suffix_dedup.suffix_query(docs, 100, 5_000).drop("n_kept"))
     assert got == sorted(brute_spans(rows, 100), key=repr)
 
 
