@@ -79,7 +79,7 @@ def top_of_sections(counts: DataFrame) -> DataFrame:
 def interaction_differs(prepared: DataFrame, geo: GeoTable) -> DataFrame:
     """Per section and dimension: does the ranking by interaction differ from that by download?"""
     # Read twice, so counted and ranked once, into a small table.
-    return _differs(staged(top_of_sections(section_counts(prepared, geo, interactions=True)), "interaction-rankings"))
+    return _differs(staged(top_of_sections(section_counts(prepared, geo, interactions=True, written=True)), "interaction-rankings"))
 
 
 def _differs(top: DataFrame) -> DataFrame:

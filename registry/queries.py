@@ -248,7 +248,7 @@ def daily_downloads_by_file(spark, sf_dir):
 
 
 def daily_metrics_document(spark, sf_dir):
-    rows = staged(D.daily_metrics(prepared(spark, sf_dir), geo(spark, sf_dir)), "daily-rows")
+    rows = staged(D.daily_metrics(prepared(spark, sf_dir), geo(spark, sf_dir), written=True), "daily-rows")
     return _dates_as_text(D.document_rows(D.daily_summaries(rows), D.daily_values(rows)))
 
 
@@ -346,17 +346,17 @@ def upsert_daily_metrics(spark, sf_dir):
 def write_period_metrics(spark, sf_dir):
     """The whole service's metrics stored as a document, and what the history reads of it."""
     path = work_dir(spark, "history")
-    top = U.top_of_sections(U.section_counts(prepared(spark, sf_dir), geo(spark, sf_dir)))
+    top = U.top_of_sections(U.section_counts(prepared(spark, sf_dir), geo(spark, sf_dir), written=True))
     W.write_period_metrics(U.overall_document(top, "2024/01/01", "2024/01/31"), path)
     return _dates_as_text(SR.load_metrics_history(spark, path))
 
 
 def report_rows(spark, sf_dir):
-    return U.report_rows(U.top_of_sections(U.section_counts(prepared(spark, sf_dir), geo(spark, sf_dir))))
+    return U.report_rows(U.top_of_sections(U.section_counts(prepared(spark, sf_dir), geo(spark, sf_dir), written=True)))
 
 
 def report_rows_with_interactions(spark, sf_dir):
-    counts = U.section_counts(prepared(spark, sf_dir), geo(spark, sf_dir), interactions=True)
+    counts = U.section_counts(prepared(spark, sf_dir), geo(spark, sf_dir), interactions=True, written=True)
     return U.report_rows(staged(U.top_of_sections(counts), "report-sections"), interactions=True)
 
 
