@@ -12,6 +12,7 @@ A pair of tiles reports counts per class and a forest of its links, never all pa
 """
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ from bucketlens.llm.components import components, local_labels
 from bucketlens.session import staged
 
 TILE = 2_048
+# A partition of sorted classes makes fewer than 2 ** TILE_BITS tiles.
+TILE_BITS = 20
 BLOCK = 256
 # Far above the rounding errors of sums in double precision.
 SLACK = 1e-9
@@ -47,7 +50,8 @@ def near_pairs(left: np.ndarray, right: np.ndarray, threshold: float) -> Iterato
     # Sums of int8 products are whole numbers below 2 ** 24 up to some 1,000 dimensions.
     kind = np.float32 if left.shape[1] * 127**2 < 2**24 else np.float64
     qa, qb = qa.astype(kind), qb.astype(kind)
-    la, lb = np.linalg.norm(qa, axis=1) * sa, np.linalg.norm(qb, axis=1) * sb
+    # In double precision: the bound has to hold to within SLACK.
+    la, lb = (np.linalg.norm(q.astype(np.float64), axis=1) * s for q, s in ((qa, sa), (qb, sb)))
     for start in range(0, len(left), BLOCK):
         part = slice(start, start + BLOCK)
         most = (qa[part] @ qb.T) * (sa[part, None] * sb)
@@ -79,6 +83,12 @@ def compare_tiles(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, same:
     return counts, label
 
 
+def _hashes(seed: int) -> Column:
+    """Two hashes of a vector; 0 and -0 are the same component."""
+    plain = F.transform("embedding", lambda x: x.cast("double") + F.lit(0.0))
+    return F.struct(F.xxhash64(F.lit(2 * seed), plain).alias("h1"), F.xxhash64(plain, F.lit(2 * seed + 1)).alias("h2"))
+
+
 def _valid() -> Column:
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
@@ -116,9 +126,10 @@ def _tiles(classes: DataFrame, tile: int, partitions: int) -> DataFrame:
             vectors = np.array([r["embedding"] for r in rows], dtype="<f8")
             return pa.RecordBatch.from_pylist(
                 [{
-                    "label": first["label"], "dim": first["dim"], "tile": (first["part"] << 32) + number,
+                    "label": first["label"], "dim": first["dim"], "tile": (first["part"] << TILE_BITS) + number,
                     "low": first["shadow"], "high": rows[-1]["shadow"], "vectors": vectors.tobytes(),
                     "sizes": [r["size"] for r in rows], "first_ids": [r["first_id"] for r in rows],
+                    "hashes": [r["hashes"] for r in rows],
                 }],
                 schema=schema,
             )
@@ -136,6 +147,7 @@ def _tiles(classes: DataFrame, tile: int, partitions: int) -> DataFrame:
     schema = pa.schema([
         ("label", to_arrow_type(label)), ("dim", pa.int32()), ("tile", pa.int64()), ("low", pa.float64()), ("high", pa.float64()),
         ("vectors", pa.binary()), ("sizes", pa.list_(pa.int64())), ("first_ids", pa.list_(to_arrow_type(first_id))),
+        ("hashes", pa.list_(pa.struct([("h1", pa.int64()), ("h2", pa.int64())]))),
     ])
     ranged = (
         classes.withColumn("shadow", shadow("embedding"))
@@ -144,7 +156,7 @@ def _tiles(classes: DataFrame, tile: int, partitions: int) -> DataFrame:
         .withColumn("part", F.spark_partition_id().cast("bigint"))
     )
     columns = f"label {label.simpleString()}, dim INT, tile BIGINT, low DOUBLE, high DOUBLE, vectors BINARY, "
-    columns += f"sizes ARRAY<BIGINT>, first_ids ARRAY<{first_id.simpleString()}>"
+    columns += f"sizes ARRAY<BIGINT>, first_ids ARRAY<{first_id.simpleString()}>, hashes ARRAY<STRUCT<h1: BIGINT, h2: BIGINT>>"
     return staged(ranged.mapInArrow(pack, columns), "embedding-tiles")
 
 
@@ -159,11 +171,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, tile: int = TIL
     """
     given = vectors.select("vec_id", "embedding", "label")
     classes = given.where(_valid()).groupBy("label", "embedding").agg(F.count(F.lit(1)).alias("size"), F.min("vec_id").alias("first_id"))
-    classes = staged(classes.withColumn("dim", F.size("embedding")), "embedding-classes")
+    grouped = staged(classes.withColumn("dim", F.size("embedding")), "embedding-classes")
+    # Two hashes name a class of a label, so that vectors themselves need not be joined.
+    # Should two classes share both, other hashes are taken.
+    for seed in count():
+        classes = grouped.withColumn("hashes", _hashes(seed))
+        if classes.groupBy("label", "hashes").count().where("count > 1").isEmpty():
+            break
     partitions = max(1, -(-classes.count() // tile))
     tiles = _tiles(classes, tile, partitions)
 
-    # A class is known by its tile and place; a tile has fewer than 2 ** 20 places.
+    # A class is known by the number of its tile and its place there.
     metas = tiles.select("label", "dim", "tile", "low", "high")
     other = metas.toDF("label", "dim", "tile_b", "low_b", "high_b")
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
@@ -186,8 +204,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, tile: int = TIL
                 same = row["tile"] == row["tile_b"]
                 sizes = np.array(row["sizes"] if same else row["sizes"] + row["sizes_b"])
                 counts, label = compare_tiles(left, right, sizes, same, threshold)
-                places = (row["tile"] << 20) + np.arange(len(left))
-                nodes = places if same else np.concatenate([places, (row["tile_b"] << 20) + np.arange(len(right))])
+                places = row["tile"] * tile + np.arange(len(left))
+                nodes = places if same else np.concatenate([places, row["tile_b"] * tile + np.arange(len(right))])
                 found = np.flatnonzero(counts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nodes[found]), pa.array(counts[found]), pa.array(nodes[label[found]])], names=["node", "links", "linked"]
@@ -200,31 +218,32 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, tile: int = TIL
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                x = np.frombuffer(row["vectors"], dtype="<f8").reshape(-1, row["dim"]).astype(np.float64)
-                n = len(x)
+                n = len(row["sizes"])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([row["label"]] * n, label_type), pa.array(list(x), pa.list_(pa.float64())),
-                        pa.array((row["tile"] << 20) + np.arange(n)), pa.array(row["sizes"], pa.int64()), pa.array(row["first_ids"], id_type),
+                        pa.array([row["label"]] * n, label_type), pa.array(row["hashes"], hash_type),
+                        pa.array(row["tile"] * tile + np.arange(n)), pa.array(row["sizes"], pa.int64()), pa.array(row["first_ids"], id_type),
                     ],
-                    names=["label", "embedding", "node", "size", "first_id"],
+                    names=["label", "hashes", "node", "size", "first_id"],
                 )
 
-    kinds = dict(classes.dtypes)
-    label_type, id_type = (to_arrow_type(classes.schema[c].dataType) for c in ("label", "first_id"))
-    placed = tiles.drop("low", "high").mapInArrow(
-        unpack, f"label {kinds['label']}, embedding ARRAY<DOUBLE>, node BIGINT, size BIGINT, first_id {kinds['first_id']}"
-    ).withColumn("embedding", F.col("embedding").cast(kinds["embedding"]))
+    kinds = dict(grouped.dtypes)
+    label_type, id_type = (to_arrow_type(grouped.schema[c].dataType) for c in ("label", "first_id"))
+    hash_type = pa.struct([("h1", pa.int64()), ("h2", pa.int64())])
+    placed = tiles.select("label", "hashes", "tile", "sizes", "first_ids").mapInArrow(
+        unpack, f"label {kinds['label']}, hashes STRUCT<h1: BIGINT, h2: BIGINT>, node BIGINT, size BIGINT, first_id {kinds['first_id']}"
+    )
     known = staged(
         placed.join(counted, "node", "left").join(rooted, "node", "left").select(
-            "label", "embedding", "first_id", F.coalesce("root", "node").alias("root"),
+            "label", "hashes", "first_id", F.coalesce("root", "node").alias("root"),
             (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"),
         ),
         "embedding-roots",
     )
     named = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_class = spread_join(known.drop("first_id"), named, ["root"], ["embedding"], copies=4).drop("root")
-    told = spread_join(given.withColumn("_valid", _valid()), of_class, ["label", "embedding"], ["vec_id"])
+    of_class = spread_join(known.drop("first_id"), named, ["root"], ["hashes"], copies=4).drop("root")
+    asked = given.select("vec_id", _valid().alias("_valid"), "label", F.when(_valid(), _hashes(seed)).alias("hashes"))
+    told = spread_join(asked, of_class, ["label", "hashes"], ["vec_id"])
     result = told.select(
         "vec_id",
         F.when(F.col("_valid"), F.col("n_links")).otherwise(0).cast("bigint").alias("n_links"),

@@ -24,6 +24,8 @@ STATISTICS = (
 )
 WIDTH = len(STATISTICS)
 TO_POOLED, TO_IDENTITY = 0.2, 0.05
+# Of a standardised statistic, where all rows are alike.
+LEAST_VARIANCE = 1e-3
 THRESHOLD = 0.3
 EXTRA_WORDS, EXTRA_LINES, USUAL_LENGTH = 12, 3, 6
 
@@ -73,23 +75,36 @@ def _statistics(texts: pa.Array) -> pa.Array:
     return pa.array([statistics(t) for t in texts.cast(pa.binary()).to_pylist()], pa.list_(pa.float64()))
 
 
-def _moments(batch: pa.RecordBatch) -> np.ndarray:
-    """Per class: number of rows, sums, sums of products."""
+def _parts(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The statistics of either class."""
     x = np.array(batch["x"].to_pylist(), dtype=float).reshape(-1, WIDTH)
     y = np.array(batch["quality"].to_pylist())
-    parts = [x[y == k] for k in (0, 1)]
-    return np.concatenate([np.concatenate([[len(p)], p.sum(axis=0), (p.T @ p).ravel()]) for p in parts])
+    return [x[y == k] for k in (0, 1)]
+
+
+def _sums(batch: pa.RecordBatch) -> np.ndarray:
+    """Per class: number of rows, sums."""
+    return np.concatenate([np.concatenate([[len(p)], p.sum(axis=0)]) for p in _parts(batch)])
 
 
 def train(labelled: DataFrame) -> dict:
-    """Model from (x, quality 0 or 1). With rows of one class, or none, only a prior."""
-    width = 1 + WIDTH + WIDTH**2
-    sums = summed(labelled.select("x", "quality"), _moments, 2 * width).reshape(2, width)
+    """Model from (x, quality 0 or 1). With rows of one class, or none, only a prior.
+
+    Scatters are summed around the means, in a second pass, so that no rounding makes a
+    variance negative; rows that are all alike have none and get a least one.
+    """
+    given = labelled.select("x", "quality")
+    sums = summed(given, _sums, 2 * (1 + WIDTH)).reshape(2, 1 + WIDTH)
     n = sums[:, 0]
     if n.min() < 2:
         return {"prior": float(n[1] / n.sum()) if n.sum() else 0.5}
-    mean = sums[:, 1 : 1 + WIDTH] / n[:, None]
-    scatter = sums[:, 1 + WIDTH :].reshape(2, WIDTH, WIDTH) - n[:, None, None] * mean[:, :, None] * mean[:, None, :]
+    mean = sums[:, 1:] / n[:, None]
+
+    def scatters(batch: pa.RecordBatch) -> np.ndarray:
+        around = [p - m for p, m in zip(_parts(batch), mean)]
+        return np.concatenate([(p.T @ p).ravel() for p in around])
+
+    scatter = summed(given, scatters, 2 * WIDTH**2).reshape(2, WIDTH, WIDTH)
     pooled = scatter.sum(axis=0) / (n.sum() - 2)
     scale = np.sqrt(np.maximum(np.diag(pooled), 1e-9))
     factors, logs = [], []
@@ -97,7 +112,7 @@ def train(labelled: DataFrame) -> dict:
         # On standardised statistics, so that the identity is a fair target.
         own, shared = (s / scale[:, None] / scale[None, :] for s in (scatter[k] / (n[k] - 1), pooled))
         mixed = (1 - TO_POOLED) * own + TO_POOLED * shared
-        shrunk = (1 - TO_IDENTITY) * mixed + TO_IDENTITY * np.trace(mixed) / WIDTH * np.eye(WIDTH)
+        shrunk = (1 - TO_IDENTITY) * mixed + TO_IDENTITY * max(np.trace(mixed) / WIDTH, LEAST_VARIANCE) * np.eye(WIDTH)
         cholesky = np.linalg.cholesky(shrunk)
         factors.append(np.linalg.inv(cholesky) / scale[None, :])
         logs.append(-np.log(np.diag(cholesky)).sum())
@@ -136,4 +151,5 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def quality_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``score_documents``: every row once, repeated rows alike; a NULL text counts as an empty one."""
     return score_documents(docs, labels)

@@ -9,10 +9,11 @@ uniform permutation of all rows dealt into shards of equal size.
 
 A block is a hash class of rows, so a lost task recomputes the same blocks. Block
 counts and the matrix are the only things on the driver: one row of ``n_shards``
-numbers per ``rows_per_block`` rows.
+numbers per ``rows_per_block`` rows, drawn in about a millisecond.
 """
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -31,14 +32,45 @@ def shard_sizes(rows: int, n_shards: int) -> np.ndarray:
     return np.full(n_shards, rows // n_shards, dtype=np.int64) + (np.arange(n_shards) < rows % n_shards)
 
 
+def hypergeometric(draw: np.random.Generator, good: int, bad: int, taken: int) -> int:
+    """How many of ``taken`` out of ``good`` + ``bad`` are good, for any counts below 2 ** 53.
+
+    By inversion: probabilities relative to the mode's are products of ratios of
+    neighbours, so that no large factorial is needed. Beyond 40 standard deviations (and
+    100 values) from the mode they are less than double precision can tell from 0.
+    """
+    low, high = max(0, taken - bad), min(good, taken)
+    if low == high:
+        return low
+    total = good + bad
+    mode = min(max((taken + 1) * (good + 1) // (total + 2), low), high)
+    deviation = math.sqrt(taken * (good / total) * (bad / total) * (total - taken) / max(1, total - 1))
+    reach = int(40 * deviation) + 100
+    up = np.arange(mode, min(high, mode + reach), dtype=np.float64)
+    down = np.arange(mode, max(low, mode - reach), -1, dtype=np.float64)
+    above = np.cumprod((good - up) * (taken - up) / ((up + 1) * (bad - taken + up + 1)))
+    below = np.cumprod(down * (bad - taken + down) / ((good - down + 1) * (taken - down + 1)))
+    weights = np.concatenate([below[::-1], [1.0], above])
+    sums = np.cumsum(weights)
+    place = int(np.searchsorted(sums, draw.random() * sums[-1], side="right"))
+    return mode - len(below) + min(place, len(weights) - 1)
+
+
 def communication_matrix(block_rows: np.ndarray, n_shards: int, seed: int) -> np.ndarray:
-    """Rows from each block (line) to each shard (column); exact sums both ways."""
+    """Rows from each block (line) to each shard (column); exact sums both ways.
+
+    A block's line is a multivariate hypergeometric draw, shard by shard.
+    """
     draw = np.random.Generator(np.random.PCG64(seed))
-    free = shard_sizes(int(block_rows.sum()), n_shards)
+    free = shard_sizes(int(block_rows.sum()), n_shards).tolist()
     matrix = np.zeros((len(block_rows), n_shards), dtype=np.int64)
-    for i, rows in enumerate(block_rows):
-        matrix[i] = draw.multivariate_hypergeometric(free, int(rows), method="marginals")
-        free = free - matrix[i]
+    for i, rows in enumerate(block_rows.tolist()):
+        others = sum(free)
+        for shard, places in enumerate(free):
+            others -= places
+            matrix[i, shard] = n = hypergeometric(draw, places, others, rows)
+            free[shard] -= n
+            rows -= n
     return matrix
 
 
@@ -48,7 +80,8 @@ def shuffle_into_shards(
     """Rows with ``shard`` (0 to ``n_shards`` - 1) and ``slot`` (gapless from 0 in a shard).
 
     ``by`` identifies a row. Rows equal in all of it take neighbouring ranks in either
-    order; NULLs are values like any other. Shard sizes differ by one row at most, and
+    order; where they are more than a block should have, they are dealt over several
+    blocks by their place in the input. NULLs are values like any other. Shard sizes differ by one row at most, and
     an empty table gives an empty result. Input columns named like a result column
     are replaced. Pass narrow rows: texts need not move, they can be joined by ``by``.
     """
@@ -58,6 +91,16 @@ def shuffle_into_shards(
     n_blocks = max(MIN_BLOCKS, math.ceil(total / rows_per_block))
     by = [f"_row.`{c}`" for c in by]
 
+    # At most one row per block's worth of input rows.
+    names = [f"_by{n}" for n in range(len(by))]
+    many = given.groupBy(*(F.col(c).alias(n) for c, n in zip(by, names))).agg(F.count(F.lit(1)).alias("_n"))
+    many = many.where(F.col("_n") > rows_per_block).withColumn("_deals", F.ceil(F.col("_n") / rows_per_block)).drop("_n")
+    given = given.withColumn("_place", F.monotonically_increasing_id())
+    found = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)))
+    deal = F.pmod(F.xxhash64("_place"), F.coalesce("_deals", F.lit(1))).alias("_deal")
+    given = given.join(F.broadcast(many), found, "left").select("_row", deal)
+    by.append("_deal")
+
     block = F.pmod(F.xxhash64(F.lit(seed), F.lit("block"), *by), F.lit(n_blocks)).alias("_block")
     dealt = given.select("*", block, F.xxhash64(F.lit(seed), F.lit("local"), *by).alias("_order"))
     counted = sorted((r[0], r[1]) for r in dealt.groupBy("_block").count().collect())
@@ -72,7 +115,7 @@ def shuffle_into_shards(
     n_parts = max(MIN_BLOCKS // n_shards, math.ceil(total / n_shards / rows_per_block), 1)
     part = F.pmod(F.xxhash64(F.lit(seed), F.lit("part"), *by), F.lit(n_parts)).alias("_part")
     order = F.xxhash64(F.lit(seed), F.lit("again"), *by).alias("_order")
-    placed = staged(ranked.select("_row", shard, part, order), "shard-placed")
+    placed = staged(ranked.select("_row", "_deal", shard, part, order), "shard-placed")
 
     # One row per part of a shard: where the part's slots begin.
     before = Window.partitionBy(SHARD).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

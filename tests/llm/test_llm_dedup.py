@@ -229,3 +229,38 @@ def test_embedding_error_bound_holds():
 def test_embedding_dedup_of_an_empty_table(spark):
     given = spark.createDataFrame([], "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT")
     assert found(embedding_dedup.near_duplicates(given)) == []
+
+
+def test_embedding_dedup_in_thousands_of_partitions(spark):
+    """Numbers of classes stay small, however many tiles there are: one vector per tile here."""
+    draw = np.random.default_rng(8)
+    given = [(k, draw.normal(size=4).tolist(), 1) for k in range(2_060)]
+    given += [(10_000 + k, [x * 1.001 + 1e-5 for x in v], 1) for k, v, _ in given[:20]]
+    vectors_ = np.array([v for _, v, _ in given], dtype=np.float32).astype(float)
+    unit = vectors_ / np.linalg.norm(vectors_, axis=1)[:, None]
+    part = slice(0, 300)
+    n_links = (unit[part] @ unit.T >= 0.9999999).sum(axis=1) - 1
+    frame = spark.createDataFrame(given, "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(frame, threshold=0.9999999, tile=1).collect()}
+    assert len(got) == 2_080 and [got[k] for k in range(300)] == n_links.tolist()
+
+
+def test_numbers_of_classes_fit(spark):
+    largest = ((2**31 << embedding_dedup.TILE_BITS) + 1000) * embedding_dedup.TILE + embedding_dedup.TILE
+    assert largest < 2**63
+
+
+def test_embedding_classes_with_equal_hashes(spark, monkeypatch):
+    """Hashes that don't tell all classes apart are given up for others."""
+    from pyspark.sql import functions as F
+
+    real, tried = embedding_dedup._hashes, []
+
+    def weak(seed):
+        tried.append(seed)
+        return F.struct(F.lit(0).cast("bigint").alias("h1"), F.lit(0).cast("bigint").alias("h2")) if seed < 2 else real(seed)
+
+    monkeypatch.setattr(embedding_dedup, "_hashes", weak)
+    given = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [0.0, 1.0], 1), (3, [-0.0, 1.0], 1)], "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT")
+    assert found(embedding_dedup.near_duplicates(given)) == [(1, 0, 1, True), (2, 1, 2, True), (3, 1, 2, False)]
+    assert tried == [0, 1, 2, 2]

@@ -71,6 +71,49 @@ def test_matrix_has_exact_sums():
     assert sorted(matrix.sum(axis=0)) == sorted(sharding.shard_sizes(63, 6))
 
 
+def test_matrix_beyond_a_billion_rows():
+    blocks = np.full(1_000, 2_000_000, dtype=np.int64)
+    matrix = sharding.communication_matrix(blocks, 24, 3)
+    assert (matrix.sum(axis=1) == blocks).all() and sorted(matrix.sum(axis=0)) == sorted(sharding.shard_sizes(2_000_000_000, 24))
+    # Deviations from an even share are of the size that drawing without replacement gives.
+    spread = (matrix - 2_000_000 / 24).std()
+    assert 0.95 < spread / np.sqrt(2_000_000 / 24 * 23 / 24) < 1.05
+
+
+@pytest.mark.parametrize("good, bad, taken", [(5, 7, 6), (30, 3, 20), (3, 400, 100), (1, 1, 1), (0, 5, 3), (5, 0, 3), (200, 300, 250)])
+def test_hypergeometric_draws(good, bad, taken):
+    """Frequencies against the exact probabilities."""
+    from math import comb
+
+    draw, n = np.random.Generator(np.random.PCG64(1)), 20_000
+    seen = Counter(sharding.hypergeometric(draw, good, bad, taken) for _ in range(n))
+    for k in range(taken + 1):
+        p = comb(good, k) * comb(bad, taken - k) / comb(good + bad, taken) if taken - k <= bad else 0
+        assert abs(seen[k] - n * p) <= 5 * np.sqrt(n * p * (1 - p)) + 4
+
+
+def test_equal_rows_are_dealt_over_blocks(spark, monkeypatch):
+    """A row repeated very often: no window of one task holds all of it."""
+    rows = spark.range(0, 30_000, 1, 6).selectExpr("1 AS doc_id", "'same' AS text").unionAll(spark.range(50).selectExpr("CAST(id AS INT)", "'x'"))
+    given = rows.selectExpr("doc_id", "text", "'c' AS _deal", "'s' AS shard")
+    got = sharding.shuffle_into_shards(given, ["doc_id", "text"], 7, rows_per_block=500)
+    sizes = Counter((r.shard) for r in got.collect())
+    assert sum(sizes.values()) == 30_050 and max(sizes.values()) - min(sizes.values()) <= 1
+    for shard in range(7):
+        assert sorted(r.slot for r in got.where(got.shard == shard).collect()) == list(range(sizes[shard]))
+    largest, staged = [], sharding.staged
+
+    def counting(df, name):
+        out = staged(df, name)
+        if name == "shard-placed":
+            largest.append(max(r["count"] for r in out.groupBy("shard", "_part").count().collect()))
+        return out
+
+    monkeypatch.setattr(sharding, "staged", counting)
+    sharding.shuffle_into_shards(given, ["doc_id", "text"], 7, rows_per_block=500).count()
+    assert largest[0] < 1_500
+
+
 def test_shards_are_exact_gapless_and_uniform(corpus):
     got = sharding.shard_documents(corpus).collect()
     sizes = Counter(r.shard for r in got)
@@ -151,6 +194,16 @@ def test_mix_keeps_clashing_columns(awkward):
     assert mixing.mix_documents(awkward).columns == awkward.columns
 
 
+def test_quality_of_alike_rows(spark):
+    """All rows of both classes alike, or of one class: no variance, but a model."""
+    docs = spark.createDataFrame([(i, "the same text" if i < 60 else f"text {i} " * (i % 7)) for i in range(90)], "doc_id BIGINT, text STRING")
+    for ids in (range(60), range(90)):
+        labels = spark.createDataFrame([(i, i % 2 if i < 60 else 1) for i in ids], "doc_id BIGINT, quality INT")
+        got = quality_classifier.quality_query(docs, labels).collect()
+        assert len(got) == 90 and all(0 <= r.score <= 1 for r in got)
+        assert len({r.score for r in got if r.doc_id < 60}) == 1
+
+
 # Language
 
 
