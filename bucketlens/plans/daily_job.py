@@ -18,7 +18,7 @@ from bucketlens.plans.sections import (
     locate_counts,
     sum_sections,
 )
-from bucketlens.session import staged
+from bucketlens.session import check_zone, staged
 from bucketlens.sinks.metrics import DOCUMENT_SCHEMA, as_json_documents
 from bucketlens.sinks.published import Pointer, newest, read_store, replace_days
 from bucketlens.sources.log_text import scan_access_log
@@ -147,6 +147,7 @@ def run_daily_job(
     Without ``start`` and ``end`` (``yyyy/MM/dd``) the window follows from ``frequency``
     or ``custom``, as in ``window_of``.
     """
+    check_zone(spark)
     if start is None or end is None:
         start, end = window_of(frequency, custom=custom)
     return daily_job(spark, scan_access_log(spark, base, start, end, NEEDED_COLUMNS), geo, out, bad_times=bad_times)

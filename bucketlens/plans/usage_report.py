@@ -21,7 +21,7 @@ from bucketlens.plans.sections import (
     locate_counts,
     sum_sections,
 )
-from bucketlens.session import staged
+from bucketlens.session import check_zone, staged
 from bucketlens.sinks.extracts import export_csv_gz, export_parquet
 from bucketlens.sinks.metrics import write_period_metrics
 from bucketlens.sources.log_text import scan_access_log
@@ -187,6 +187,7 @@ def usage_report(
     under ``results``. Everything after the extract reads the extract, and it is read
     once for all metrics, rankings and sentences.
     """
+    check_zone(spark)
     if start is None or end is None:
         start, end = window_of(frequency, custom=custom)
     columns = None if select_all else S.USAGE_COLUMNS

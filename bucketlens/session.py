@@ -19,6 +19,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def check_zone(spark: SparkSession) -> None:
+    """Days and request times are in UTC; ``configure`` sets it."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z"):
+        raise ValueError(f"the session's time zone is {zone}: call configure(spark) first")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in a folder that driver and executors share.
 

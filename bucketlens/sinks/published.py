@@ -150,6 +150,14 @@ def write_run(rows: DataFrame, out: str, store: str, run: str) -> list[str]:
     return sorted(n.removeprefix("date=") for n in _Storage(spark, out).names(f"{store}/run={run}") if n.startswith("date="))
 
 
+def write_run_as_is(rows: DataFrame, out: str, store: str, run: str) -> list[str]:
+    """``write_run`` for rows that are dealt and sorted as their files should be."""
+    spark = rows.sparkSession
+    path = f"{out.rstrip('/')}/{store}/run={run}"
+    rows.write.mode("overwrite").partitionBy("date").parquet(path)
+    return sorted(n.removeprefix("date=") for n in _Storage(spark, out).names(f"{store}/run={run}") if n.startswith("date="))
+
+
 def replace_days(spark: SparkSession, out: str, stores: dict[str, DataFrame], dates: Iterable[str] = ()) -> Pointer:
     """Insert or replace days in all ``stores`` in one step.
 

@@ -29,6 +29,7 @@ from bucketlens.operators.prepare import prepare
 from bucketlens.operators.selection import filter_object_requests
 from bucketlens.plans.daily_job import DAILY_ROWS_SCHEMA, NEEDED_COLUMNS, count_days, daily_metrics_from_counts
 from bucketlens.plans.sections import grouping_sets
+from bucketlens.session import check_zone
 from bucketlens.sinks.published import Pointer, folder_sizes, new_run, newest, publish, read_store, write_run
 from bucketlens.sources.log_text import DAY_IN_PATH, parse_access_log
 
@@ -213,6 +214,7 @@ def run_incremental(
     time that doesn't parse fails the run, unless ``lenient``; a dictionary given as
     ``bad_times`` means ``lenient`` and receives the number of such rows of this run.
     """
+    check_zone(spark)
     before = newest(spark, state).notes
     first_batch = before.get("batch", -1) + 1
     if first_batch and not checkpoint_exists(spark, state):

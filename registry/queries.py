@@ -1,5 +1,6 @@
 """One query per operator: (spark, table folder) -> DataFrame."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,12 @@ from bucketlens.plans import daily_job as D
 from bucketlens.plans import rollups as V
 from bucketlens.plans import usage_report as U
 from bucketlens.session import staged, work_dir
+from bucketlens.sinks import compaction as Z
 from bucketlens.sinks import extracts as X
 from bucketlens.sinks import metrics as W
+from bucketlens.sources import catalog as C
 from bucketlens.sources import log_text as L
+from bucketlens.sources import rejects as J
 from bucketlens.sources import results as SR
 from bucketlens.streaming import incremental as I
 from registry import log_files
@@ -75,6 +79,42 @@ def scan_day_partitions(spark, sf_dir):
     )
 
 
+def spoiled_lines(spark, sf_dir):
+    """The log as text, five in forty lines no longer what they should be."""
+    number = F.pmod(F.substring("requestid", 2, 20).cast("bigint"), F.lit(40))
+    logs = access_log(spark, sf_dir)
+    kept = L.render_access_log(logs.withColumn("hostid", F.concat(F.lit("n"), number.cast("string"))))
+    which = F.regexp_extract("value", " n([0-9]+) ", 1).cast("int")
+    spoiled = (
+        F.when(which == 0, " ").when(which == 1, "garbage").when(which == 2, F.translate("value", "[", "("))
+        .when(which == 3, F.regexp_replace("value", '"agent[^"]*"', "agent")).when(which == 4, F.regexp_replace("value", '" (200|403) ', '" OK '))
+    )
+    return kept.withColumn("value", F.coalesce(spoiled, F.col("value")))
+
+
+def rejected_lines(spark, sf_dir):
+    requests, rejected = J.split_lines(spoiled_lines(spark, sf_dir), work_dir(spark, "lines"), ["key", "operation"])
+    return J.count_lines(requests, rejected)
+
+
+def sql_day_filter(spark, sf_dir):
+    """A filter on the day in SQL text, on a table whose days were computed from a range."""
+    base = log_files.write_log_tree(access_log(spark, sf_dir))
+    table, view = f"lines_{uuid.uuid4().hex}", f"logs_{uuid.uuid4().hex}"
+    C.register_log_lines(spark, base, table, "2023/12/25", "2024/02/05")
+    C.register_access_log(spark, table, view)
+    return spark.sql(
+        f"""SELECT `timestamp`, count(requestid) AS requests, CAST(coalesce(sum(bytessent), 0) AS BIGINT) AS bytes
+        FROM {view} WHERE `timestamp` BETWEEN '{WINDOW_START}' AND '{WINDOW_END}' GROUP BY `timestamp`"""
+    )
+
+
+def compacted_logs(spark, sf_dir):
+    base, out = log_files.write_log_tree(access_log(spark, sf_dir)), work_dir(spark, "compacted")
+    Z.compact_days(spark, base, WINDOW_START, WINDOW_END, out)
+    return Z.read_compacted(spark, out).drop("date")
+
+
 def read_result_files(spark, sf_dir):
     path, manifest = work_dir(spark, "result"), work_dir(spark, "manifest")
     stored = X.write_query_result(usage_logs(spark, sf_dir), path)
@@ -460,6 +500,9 @@ def daily_documents(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "parse_access_log": parse_access_log,
     "scan_day_partitions": scan_day_partitions,
+    "rejected_lines": rejected_lines,
+    "sql_day_filter": sql_day_filter,
+    "compacted_logs": compacted_logs,
     "read_result_files": read_result_files,
     "register_result_table": register_result_table,
     "load_metrics_history": load_metrics_history,
