@@ -24,7 +24,7 @@ from test_log_text import FULL, SHORT
 LINES = [
     (FULL, None), (SHORT, None), (FULL + " more", None), ("", J.EMPTY_LINE), ("  \t", J.EMPTY_LINE), ("word", "bucket_name"),
     ("owner bucket", "requestdatetime"), (FULL.replace("[", ""), "requestdatetime"), (FULL.replace("]", ""), "requestdatetime"),
-    (FULL.split('"GET')[0].strip(), "request_uri"), (FULL.replace('"GET /x HTTP/1.1"', '"GET /x'), "httpstatus"),
+    (FULL.split('"GET')[0].strip(), "request_uri"), (FULL.replace('"GET /x HTTP/1.1"', '"GET /x'), "request_uri"),
     (FULL.replace(" 200 ", " OK "), "httpstatus"), (FULL.replace('"agent/1.0 (x; y)"', "agent"), "useragent"),
     (" ".join(SHORT.split(" ")[:-1]), "versionid"), ("Ünïcode [x", "requestdatetime"),
 ]
