@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bucketlens.llm.common import id_remainder, packed, summed
@@ -112,7 +112,10 @@ def train(learnable: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE)
                 names=["u", "lang", "at", "value"],
             )
 
-    sampled = rows.withColumn("u", uniform).where(F.col("u") < share).select("u", "text", "lang")
+    # Copies of a text count once, and twice the expected rows of a language are the most.
+    sampled = rows.withColumn("u", uniform).where(F.col("u") < share).groupBy("text", "lang").agg(F.min("u").alias("u"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("u", "text"))
+    sampled = sampled.withColumn("_nth", first).where(F.col("_nth") <= 2 * sample_per_language).select("u", "text", "lang")
     # The sample's size is bounded; as arrays it takes a few kilobytes a row.
     given = sampled.mapInArrow(features, "u DOUBLE, lang STRING, at ARRAY<INT>, value ARRAY<FLOAT>").toArrow()
     given = given.sort_by([("u", "ascending"), ("lang", "ascending")]).combine_chunks()

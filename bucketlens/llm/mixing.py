@@ -16,15 +16,20 @@ WEIGHTS = (5, 2, 1)
 DRAW_BITS = 52
 
 
-def draw(doc_id: Column, seed: int) -> Column:
-    """Uniform in [0, 1) from the id: the first 13 hex digits of an MD5."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))
+def name_of(doc_id: Column, text: Column) -> Column:
+    """What a row is drawn by: its id, or the MD5 of its text where it has none."""
+    return F.coalesce(doc_id.cast("string"), F.concat(F.lit(":"), F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
+
+
+def draw(name: Column, seed: int) -> Column:
+    """Uniform in [0, 1) from a name: the first 13 hex digits of an MD5."""
+    text = F.concat(F.lit(f"{seed}:"), name)
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, DRAW_BITS // 4), 16, 10).cast("bigint") / F.lit(float(2**DRAW_BITS))
 
 
-def copies_of(doc_id: Column, rate: Column, seed: int) -> Column:
+def copies_of(name: Column, rate: Column, seed: int) -> Column:
     whole = F.floor(rate)
-    return (whole + (draw(doc_id, seed) < rate - whole).cast("bigint")).cast("bigint")
+    return (whole + (draw(name, seed) < rate - whole).cast("bigint")).cast("bigint")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, ceiling: float) -> DataFrame:
@@ -70,24 +75,30 @@ def mixing_plan(
     """doc_id, source, size, source_size, target, copies for every row of ``docs``.
 
     Size is the number of words; a NULL or empty text has 0. Rows with the same id
-    are drawn alike; a NULL id draws like an empty one.
+    are drawn alike, and of rows without an id those with the same text.
     """
-    sizes = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    name = name_of(F.col("doc_id"), F.col("text")).alias("_name")
+    sizes = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), name), "mix-sizes")
     targets = source_targets(sizes, weights, share, ceiling)
-    planned = spread_join(sizes, targets, ["source"], ["doc_id"])
-    copies = copies_of(F.col("doc_id"), F.col("rate"), seed).alias("copies")
+    planned = spread_join(sizes, targets, ["source"], ["_name"])
+    copies = copies_of(F.col("_name"), F.col("rate"), seed).alias("copies")
     return planned.select("doc_id", "source", "size", "source_size", "target", copies)
 
 
 def mix_documents(
     docs: DataFrame, seed: int = 0, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, ceiling: float = 2.0
 ) -> DataFrame:
-    """The mixed corpus: every document as often as it is taken, columns as given."""
+    """The mixed corpus: every document as often as it is taken, columns as given.
+
+    Drawn as in ``mixing_plan``. A NULL or empty text is taken like any other of its
+    source; repeated rows come out alike, an empty table empty.
+    """
     sizes = docs.groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("size"))
     targets = source_targets(sizes, weights, share, ceiling).select("source", F.col("rate").alias("_rate"))
-    rows = packed(docs).select("_row", F.col("_row.source").alias("source"), F.col("_row.doc_id").alias("doc_id"))
-    rated = spread_join(rows, staged(targets, "mix-rates"), ["source"], ["doc_id"])
-    times = F.array_repeat(F.lit(0), copies_of(F.col("doc_id"), F.col("_rate"), seed).cast("int"))
+    name = name_of(F.col("_row.doc_id"), F.col("_row.text")).alias("_name")
+    rows = packed(docs).select("_row", F.col("_row.source").alias("source"), name)
+    rated = spread_join(rows, staged(targets, "mix-rates"), ["source"], ["_name"])
+    times = F.array_repeat(F.lit(0), copies_of(F.col("_name"), F.col("_rate"), seed).cast("int"))
     return rated.select("_row", F.explode(times)).select("_row.*")
 
 
@@ -101,7 +112,7 @@ def oracle() -> str:
     """The same rows in DuckDB."""
     weights = ", ".join(f"{w}.0" for w in WEIGHTS)
     return f"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+WITH d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, ':' || md5(coalesce(text, ''))) AS name, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [{weights}][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % {len(WEIGHTS)} + 1]::DOUBLE AS w,
     source_size * 2.0::DOUBLE AS cap FROM s),
@@ -113,7 +124,7 @@ m AS (SELECT max(level) FILTER (WHERE level * w < cap) AS level FROM l),
 t AS (SELECT source, source_size, least(cap, (SELECT level FROM m) * w)::DOUBLE AS target FROM l),
 r AS (SELECT d.doc_id, size, source_size, target,
     CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate,
-    CAST('0x' || substr(md5('0:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u
+    CAST('0x' || substr(md5('0:' || name), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u
     FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
     size * (floor(rate)::BIGINT + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS taken

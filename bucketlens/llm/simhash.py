@@ -188,7 +188,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, tile:
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """Documents, columns as given: of each component the row with the smallest id.
 
-    Rows without an id come last; of equal rows one stays.
+    Rows without an id come last. Of rows with the same id and text the one whose other
+    columns have the least hash stays, so the same one in every run; of equal rows one.
     """
     found = near_duplicates(docs, shingle, max_bits).withColumn("_none", F.col("doc_id").isNull())
     best = F.min(F.struct("_none", "doc_id", "_text"))
@@ -199,7 +200,8 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     kept = kept.select(F.col("_best.doc_id").alias("_b_id"), F.col("_best._text").alias("_b_text")).distinct()
     rows = packed(docs).select("_row", F.col("_row.doc_id").alias("doc_id"), F.xxhash64("_row.text").alias("_text"))
     joined = rows.join(kept, same(rows, kept, ["doc_id", "_text"], ["_b_id", "_b_text"]), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy("_text"))
+    others = [F.col(f"_row.`{c}`") for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind]
+    nth = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy(F.xxhash64(F.lit("others"), *others)))
     return joined.withColumn("_nth", nth).where("_nth = 1").select("_row.*")
 
 

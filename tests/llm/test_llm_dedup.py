@@ -264,3 +264,13 @@ def test_embedding_classes_with_equal_hashes(spark, monkeypatch):
     given = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [0.0, 1.0], 1), (3, [-0.0, 1.0], 1)], "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT")
     assert found(embedding_dedup.near_duplicates(given)) == [(1, 0, 1, True), (2, 1, 2, True), (3, 1, 2, False)]
     assert tried == [0, 1, 2, 2]
+
+
+def test_the_same_row_is_kept_however_rows_are_dealt(spark):
+    text = "one text of some words that all of these rows share in full"
+    rows = [(1, text, f"s{k}") for k in range(5)] + [(None, text + " and more", f"t{k}") for k in range(5)]
+    kept = set()
+    for n in (1, 2, 3, 7):
+        docs = spark.createDataFrame(rows if n % 2 else rows[::-1], "doc_id BIGINT, text STRING, source STRING").repartition(n)
+        kept.add(tuple(found(simhash.keep_one(docs))))
+    assert len(kept) == 1

@@ -190,6 +190,37 @@ def test_mixed_corpus_comes_near_its_targets(corpus):
     assert Counter(r.doc_id for r in mixed.select("doc_id").collect()) == +Counter({r.doc_id: r.copies for r in plan})
 
 
+def test_mix_of_rows_without_ids(spark):
+    """Rows without an id are drawn one by one: targets are met as with ids."""
+    rows = [(None, f"word{k} " * 10, f"s{k % 3}") for k in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    taken, target = Counter(), {}
+    for r in mixing.mixing_plan(docs).collect():
+        taken[r.source] += r.copies * r.size
+        target[r.source] = r.target
+    assert all(taken[s] == pytest.approx(t, rel=0.06) for s, t in target.items() if t > 0)
+    assert mixing.mix_documents(docs).count() * 10 == sum(taken.values())
+
+
+def test_sample_of_copies_is_bounded(spark):
+    """Equal rows are all selected or none; they count once, and a language has a most."""
+    texts = [(k, "the same words again and again", "en") for k in range(500)] + [(None, "das gleiche noch einmal", "de")] * 500
+    texts += [(1_000 + k, f"another text number {k} in english words", "en") for k in range(300)] + [(2_000 + k, f"ein anderer text nummer {k}", "de") for k in range(300)]
+    learnable = spark.createDataFrame(texts, "doc_id BIGINT, text STRING, lang STRING")
+    given, sizes = language_id.ftrl, []
+
+    def counting(vectors, classes, n):
+        sizes.append(len(vectors))
+        return given(vectors, classes, n)
+
+    language_id.ftrl = counting
+    try:
+        model = language_id.train(learnable, sample_per_language=40)
+    finally:
+        language_id.ftrl = given
+    assert model["languages"] == ["de", "en"] and sizes[0] <= 2 * 2 * 40
+
+
 def test_mix_keeps_clashing_columns(awkward):
     assert mixing.mix_documents(awkward).columns == awkward.columns
 
