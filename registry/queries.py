@@ -17,6 +17,7 @@ from bucketlens.operators.geo import resolve_addresses, with_country
 from bucketlens.operators.locations import location_histogram
 from bucketlens.operators.prepare import derive_key_components, exclude_meta_files
 from bucketlens.plans import daily_job as D
+from bucketlens.plans import rankings as N
 from bucketlens.plans import rollups as V
 from bucketlens.plans import usage_report as U
 from bucketlens.session import staged, work_dir
@@ -479,6 +480,26 @@ def window_distinct_estimates(spark, sf_dir):
     return _of_windows(judged)
 
 
+def _rankings(spark, sf_dir):
+    """Rankings of all days, stored in two runs."""
+    path, requests = work_dir(spark, "rankings"), prepared(spark, sf_dir)
+    for part in (requests.where(F.col(DAY) < WINDOW_START), requests.where(F.col(DAY) >= WINDOW_START)):
+        N.store_rankings(spark, part, path)
+    return path
+
+
+def window_top_files_by_folder(spark, sf_dir):
+    path = _rankings(spark, sf_dir)
+    ranked = [(w, N.window_ranking(spark, path, *w, "key", S.TOP_FILES, by_folder=True).rows) for w in WINDOWS]
+    return _of_windows([(w, r.select(F.col("group").alias(FOLDER), F.col("value").alias("key"), F.col("cnt").alias("downloads"), "rank")) for w, r in ranked])
+
+
+def window_top_referrers(spark, sf_dir):
+    path = _rankings(spark, sf_dir)
+    ranked = [(w, N.window_ranking(spark, path, *w, "referrer", S.TOP_OTHERS, by_interaction=True).rows) for w in WINDOWS]
+    return _of_windows([(w, r.select(F.col("value").alias("referrer"), F.col("cnt").alias("interactions"))) for w, r in ranked])
+
+
 def usage_report(spark, sf_dir):
     base = log_files.write_log_tree(access_log(spark, sf_dir))
     report = U.usage_report(spark, base, WINDOW_START, WINDOW_END, geo(spark, sf_dir), work_dir(spark, "report"))
@@ -582,6 +603,8 @@ QUERIES: dict[str, Query] = {
     "window_metrics_from_days": window_metrics_from_days,
     "window_metrics_by_folder_from_days": window_metrics_by_folder_from_days,
     "window_distinct_estimates": window_distinct_estimates,
+    "window_top_files_by_folder": window_top_files_by_folder,
+    "window_top_referrers": window_top_referrers,
     "usage_report": usage_report,
     "daily_job": daily_job,
     "daily_documents": daily_documents,
