@@ -1,7 +1,8 @@
 """Removing lines that many documents share.
 
-Pass 1 puts the hashes of every document's distinct line keys into a pair of Bloom
-filters (``repeats``). Pass 2 emits only keys that the second filter suspects of a
+Distinct lines are estimated first, by a sketch. Pass 1 puts the hashes of every
+document's distinct line keys into a pair of Bloom filters (``repeats``) of a size that
+fits these. Pass 2 emits only keys that the second filter suspects of a
 repeat, with their document; these are counted exactly, by their text. The last
 pass rewrites the documents, joined to the keys they lose.
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bucketlens.llm.common import BLANKS, packed, same, spread_join
-from bucketlens.llm.repeats import maybe_repeated, repeat_filter
+from bucketlens.llm.repeats import filter_bits, maybe_repeated, repeat_filter
 from bucketlens.session import staged
 
 _ENDS = BLANKS.encode()
@@ -58,7 +59,9 @@ def repeated_lines(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
     def hashes_of(batch: pa.RecordBatch) -> np.ndarray:
         return _hashes([k for text in _texts(batch["text"]) for k in document_keys(text, min_chars)])
 
-    suspicion = spark.sparkContext.broadcast(repeat_filter(docs.select("text"), hashes_of))
+    lines = F.explode(F.split(F.coalesce("text", F.lit("")), "\n"))
+    distinct = docs.select(lines.alias("line")).agg(F.approx_count_distinct("line")).first()[0]
+    suspicion = spark.sparkContext.broadcast(repeat_filter(docs.select("text"), hashes_of, filter_bits(distinct)))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,7 +145,11 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_fi
 
 
 def line_dedup_query(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
-    """doc_id, n_lines, n_dropped, kept_sha256."""
+    """doc_id, n_lines, n_dropped, kept_sha256, one row per given row.
+
+    A NULL or empty text is one empty line, which has no key and stays. Equal rows count
+    as documents of their own; ids may be NULL or repeat. An empty table gives no rows.
+    """
     joined = _with_repeats(docs.select("doc_id", "text"), min_docs, min_chars)
     text = F.col("_row.text")
     digest = joined.select(

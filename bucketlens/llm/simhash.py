@@ -18,10 +18,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bucketlens.llm.common import packed, same, spread_join
+from bucketlens.llm.common import packed, spread_join
 from bucketlens.llm.components import components, local_labels
 from bucketlens.session import staged
 
@@ -31,6 +31,8 @@ LENGTH, CHECKS, COVERING_RADIUS = 23, 11, 3
 # Lowest bit and width of each part of a fingerprint.
 PARTS = ((0, 21), (21, 21), (42, 22))
 TILE = 8_192
+# Shingles whose bits are counted at a time: 64 bytes each.
+COUNTED = 1 << 16
 
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
@@ -44,9 +46,12 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
     last = min(shingle, len(words)) - 1
     spans = zip(starts[: len(words) - last].tolist(), ends[last:].tolist())
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[s:e], 42) for s, e in spans], dtype="<u8")
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    majority = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
+    hashes = np.fromiter((digest(joined[s:e], 42) for s, e in spans), dtype="<u8", count=len(words) - last)
+    ones = np.zeros(64, dtype=np.int64)
+    for start in range(0, len(hashes), COUNTED):
+        block = hashes[start : start + COUNTED].view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    majority = 2 * ones > len(hashes)
     return int(np.packbits(majority, bitorder="little").view("<i8")[0])
 
 
@@ -185,6 +190,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, tile:
     return spread_join(printed, of_print, ["fp"], ["doc_id", "_text"])
 
 
+def _key(doc_id: Column) -> list[Column]:
+    """An id without NULL, so that grouping and joining by it share one exchange."""
+    return [doc_id.isNull().alias("_none"), F.coalesce(doc_id.cast("string"), F.lit("")).alias("_id")]
+
+
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """Documents, columns as given: of each component the row with the smallest id.
 
@@ -197,15 +207,20 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     # each distinct fingerprint without an id keeps a row of its own.
     key = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp"))]
     kept = found.groupBy(*(k.alias(f"_k{i}") for i, k in enumerate(key))).agg(best.alias("_best"))
-    kept = kept.select(F.col("_best.doc_id").alias("_b_id"), F.col("_best._text").alias("_b_text")).distinct()
-    rows = packed(docs).select("_row", F.col("_row.doc_id").alias("doc_id"), F.xxhash64("_row.text").alias("_text"))
-    joined = rows.join(kept, same(rows, kept, ["doc_id", "_text"], ["_b_id", "_b_text"]), "left_semi")
+    kept = kept.select("_best.*").distinct().select(*_key(F.col("doc_id")), "_text")
+    # One row of each id and text in every task, before whole texts move; they move once.
+    rows = packed(docs).select("_row", *_key(F.col("_row.doc_id")), F.xxhash64("_row.text").alias("_text"))
     others = [F.col(f"_row.`{c}`") for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind]
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy(F.xxhash64(F.lit("others"), *others)))
-    return joined.withColumn("_nth", nth).where("_nth = 1").select("_row.*")
+    first = F.min_by("_row", F.xxhash64(F.lit("others"), *others)).alias("_row")
+    one = rows.groupBy("_none", "_id", "_text").agg(first)
+    return one.join(kept, ["_none", "_id", "_text"], "left_semi").select("_row.*")
 
 
 def simhash_query(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id."""
+    """doc_id, fingerprint (16 hex digits), component_id, one row per given row.
+
+    A text without words (NULL too) has the fingerprint 0. Equal rows share a component.
+    A component is named by its smallest id, by NULL if it has none. An empty table gives no rows.
+    """
     found = near_duplicates(docs)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

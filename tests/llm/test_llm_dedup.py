@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from cases import awkward_rows, brute_fingerprint, brute_lines, brute_spans, groups, sha
 
-from bucketlens.llm import embedding_dedup, line_dedup, simhash, suffix_dedup
+from bucketlens.llm import embedding_dedup, line_dedup, repeats, simhash, suffix_dedup
 from bucketlens.llm.components import components, local_labels
 
 ROWS = [r[:2] for r in awkward_rows()]
@@ -101,6 +101,33 @@ def test_line_dedup_with_a_full_filter(awkward, monkeypatch):
     assert found(line_dedup.line_dedup_query(awkward, 2)) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("bits", [16, 20])
+def test_filter_equals_brute_force(spark, bits):
+    """Dense and sparse slices, tasks that share hashes or hold them twice."""
+    draw = np.random.default_rng(3)
+    given = draw.integers(0, 2**63, 30_000, dtype=np.uint64) * np.uint64(2)
+    given = np.concatenate([given, given[:500], given[:20]])
+    rows = [(int(h) - 2**63,) for h in given]
+    made = repeats.repeat_filter(
+        spark.createDataFrame(rows, "h BIGINT").repartition(5), lambda b: (b["h"].to_numpy().astype(np.int64) ^ np.int64(-(2**63))).view(np.uint64), bits
+    )
+    places, times = np.unique(repeats.positions(given, bits), return_counts=True)
+    assert set(np.flatnonzero(np.unpackbits(made, bitorder="little"))) == set(places[times > 1].tolist())
+    assert repeats.maybe_repeated(made, given[:500]).all()
+
+
+@pytest.mark.parametrize("distinct", [1, 70_000, 16_000_000])
+def test_few_single_hashes_are_suspected(distinct):
+    """16 million: the distinct lines of some 5 GB, ten times what the check tool reads."""
+    hashes = np.random.default_rng(4).integers(0, 2**64, distinct, dtype=np.uint64)
+    once, twice = (np.zeros(1 << (repeats.filter_bits(distinct) - 3), dtype=np.uint8) for _ in range(2))
+    for part in np.array_split(hashes, 1 + distinct // 1_000_000):
+        repeats.add_hashes(once, twice, part)
+    suspects = repeats.maybe_repeated(twice, hashes).sum()
+    assert suspects <= 0.05 * distinct
+    assert repeats.filter_bits(distinct) <= 27 and repeats.filter_bits(10**12) == repeats.MOST_BITS
+
+
 def test_line_dedup_of_an_empty_table(nothing):
     assert found(line_dedup.line_dedup_query(nothing)) == []
 
@@ -274,3 +301,22 @@ def test_the_same_row_is_kept_however_rows_are_dealt(spark):
         docs = spark.createDataFrame(rows if n % 2 else rows[::-1], "doc_id BIGINT, text STRING, source STRING").repartition(n)
         kept.add(tuple(found(simhash.keep_one(docs))))
     assert len(kept) == 1
+
+
+def test_kept_rows_move_once(spark, capsys):
+    """Copies of a row meet in their tasks; whole texts pass one exchange."""
+    rows = [(n % 50, f"text number {n % 50} of some words", "s") for n in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    kept = simhash.keep_one(docs)
+    assert kept.count() == len({r.doc_id for r in kept.collect()}) == kept.select("text").distinct().count()
+    kept.explain()
+    plan = capsys.readouterr().out.split("== Initial Plan ==")[0]
+    carried = [line for line in plan.splitlines() if "Exchange" in line and "_none" in line and "_best" not in line]
+    assert plan.count("partial_min_by") == 1 and len(carried) <= 2
+
+
+def test_fingerprints_count_in_blocks(monkeypatch):
+    text = " ".join(str(n * n % 97) for n in range(1_000)).encode()
+    whole = simhash.fingerprint(text, 4)
+    monkeypatch.setattr(simhash, "COUNTED", 7)
+    assert simhash.fingerprint(text, 4) == whole
