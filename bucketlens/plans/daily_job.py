@@ -18,7 +18,7 @@ from bucketlens.plans.sections import (
     locate_counts,
     sum_sections,
 )
-from bucketlens.session import check_zone, staged
+from bucketlens.session import check_zone, job_folder, staged
 from bucketlens.sinks.metrics import DOCUMENT_SCHEMA, as_json_documents
 from bucketlens.sinks.published import Pointer, newest, read_store, replace_days
 from bucketlens.sources.log_text import scan_access_log
@@ -124,10 +124,10 @@ def daily_job(
     A request time that doesn't parse fails the job before anything is stored, unless
     ``lenient``; ``bad_times`` counts such rows.
     """
-    rows = daily_metrics(prepare(filter_object_requests(logs), lenient=lenient, bad_times=bad_times), geo, written=True)
-    # Stored in three shapes, computed once.
-    computed = staged(rows, "daily-rows")
-    store_days(computed, out)
+    with job_folder(spark, "daily-job"):
+        rows = daily_metrics(prepare(filter_object_requests(logs), lenient=lenient, bad_times=bad_times), geo, written=True)
+        # Stored in three shapes, computed once.
+        store_days(staged(rows, "daily-rows"), out)
     return read_days(spark, out)
 
 

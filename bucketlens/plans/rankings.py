@@ -25,7 +25,7 @@ from bucketlens.operators.locations import count_by_country
 from bucketlens.operators.metrics import KEY, REFERRER, in_set, request_measures, set_columns
 from bucketlens.operators.ranking import rank_within
 from bucketlens.plans.sections import FOLDER
-from bucketlens.session import staged
+from bucketlens.session import job_folder, staged
 from bucketlens.sinks.published import Pointer, new_run, newest, publish, read_store, write_run, write_run_as_is
 
 HEADS, ENTRIES = "ranking-heads", "ranking-entries"
@@ -81,7 +81,11 @@ def count_lists(prepared: DataFrame, geo: GeoTable | None = None) -> DataFrame:
 
 def store_rankings(spark: SparkSession, prepared: DataFrame, out: str, geo: GeoTable | None = None, head: int = HEAD) -> None:
     """Store the lists of the days of ``prepared``, replacing days stored before, in one step."""
-    counts = staged(count_lists(prepared, geo), "ranking-counts")
+    with job_folder(spark, "rankings"):
+        _store(spark, staged(count_lists(prepared, geo), "ranking-counts"), out, head)
+
+
+def _store(spark: SparkSession, counts: DataFrame, out: str, head: int) -> None:
     sizes = counts.groupBy(*_LIST).agg(F.count(F.lit(1)).alias("entries"))
     sizes = sizes.select(F.struct(*_LIST).alias("_list"), "entries")
     sized = counts.join(sizes, F.struct(*_LIST).eqNullSafe(F.col("_list"))).drop("_list")

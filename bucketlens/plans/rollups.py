@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from bucketlens.functions import requests as R
 from bucketlens.operators.metrics import ADDRESS, KEY, MEASURES, count_values, in_set, set_columns
 from bucketlens.plans.sections import FOLDER
-from bucketlens.session import staged
+from bucketlens.session import job_folder, staged
 from bucketlens.sinks.published import Pointer, new_run, newest, publish, read_store, write_run
 
 SUMS = ["interactions_count", "downloads_count", "download_size", "upload_size"]
@@ -101,6 +101,11 @@ def store_days(spark: SparkSession, prepared: DataFrame, out: str) -> None:
     All stores change in one step. Two runs at a time can't both number values: the
     later one fails and may be run again.
     """
+    with job_folder(spark, "rollups"):
+        _store_days(spark, prepared, out)
+
+
+def _store_days(spark: SparkSession, prepared: DataFrame, out: str) -> None:
     pointer = newest(spark, out)
     counts = staged(count_days(prepared), "rollup-counts")
     known = read_store(spark, out, NUMBERS, SCHEMAS[NUMBERS], pointer)

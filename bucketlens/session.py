@@ -1,10 +1,14 @@
 """Session settings and the shared working folder."""
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 APP_FOLDER = "bucketlens"
+_job: ContextVar[str | None] = ContextVar("job", default=None)
 
 
 # The JVM does not compile methods beyond this many bytes of bytecode. A stage whose
@@ -41,7 +45,8 @@ def work_dir(spark: SparkSession, name: str) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, cutting its lineage."""
     spark = df.sparkSession
-    path = work_dir(spark, name)
+    job = _job.get()
+    path = f"{job}/{name}-{uuid.uuid4().hex}" if job else work_dir(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -50,3 +55,18 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package wrote, wherever the storage is; none there is fine."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def job_folder(spark: SparkSession, name: str) -> Iterator[None]:
+    """What is staged inside goes to one folder, removed at the end, also of a failed job.
+
+    For jobs that store their result elsewhere: nothing staged may be read afterwards.
+    """
+    path = work_dir(spark, name)
+    token = _job.set(path)
+    try:
+        yield
+    finally:
+        _job.reset(token)
+        remove(spark, path)

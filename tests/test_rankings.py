@@ -2,6 +2,7 @@
 
 import random
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,10 @@ def out(spark, requests, geo, request):
     return out
 
 
+def work_folder(spark):
+    return Path(work_dir(spark, "any").removeprefix("file:")).parent
+
+
 def of_window(requests, window):
     return requests.where(F.col("day").between(*(d.replace("-", "/") for d in window)))
 
@@ -102,3 +107,16 @@ def test_no_requests(spark, requests):
     assert rows(ranking.rows) == [] and rows(ranking.read) == []
     with pytest.raises(ValueError, match="after its end"):
         U.window_ranking(spark, out, "2024-01-02", "2024-01-01", "key", 3)
+
+
+def test_jobs_remove_what_they_staged(spark, requests, geo, tmp_path, monkeypatch):
+    """Also if they fail after staging."""
+    folders = {f.name for f in work_folder(spark).iterdir()}
+    out = str(tmp_path / "out")
+    U.store_rankings(spark, requests, out, geo)
+    monkeypatch.setattr(U, "write_run_as_is", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        U.store_rankings(spark, requests, out, geo)
+    assert {f.name for f in work_folder(spark).iterdir()} == folders
+    assert staged(requests.limit(1), "test-after").count() == 1
+    assert {f.name.split("-")[1] for f in work_folder(spark).iterdir() if f.name not in folders} == {"after"}
