@@ -25,43 +25,67 @@ FIELD_SEPARATOR = "\n"
 DAY_IN_PATH = r"/(\d{4}/\d{2}/\d{2})/[^/]+$"
 
 
-def parse_access_log(lines: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """``value`` text lines to the typed columns of the access log.
-
-    One regular-expression pass per line rewrites it into its captured fields;
-    only the fields asked for are written out. A line that does not match gives
-    NULL in every field. Other columns of ``lines`` are kept.
+def captured_fields(columns: Iterable[str] | None = None) -> Column:
+    """A text line ``value`` rewritten into its captured fields, as one text.
 
-    The rewrite sits inside a generator (one output row per line), because the
-    optimizer would otherwise copy it into every filter on a parsed column.
+    One regular-expression pass per line; only the fields asked for are written out.
+    A line that does not match stays as it is.
     """
-    wanted = [n for n, _ in S.ACCESS_LOG_COLUMNS if columns is None or n in set(columns)]
+    wanted = _wanted(columns)
     numbers = {n: i for i, (n, _) in enumerate(S.ACCESS_LOG_COLUMNS)}
-    types = dict(S.ACCESS_LOG_COLUMNS)
-    tail_marker = S.OPTIONAL_TAIL_START + 1
 
     def group_of(index: int) -> int:
         return index + 1 if index < S.OPTIONAL_TAIL_START else index + 2
 
-    groups = [tail_marker, *(group_of(numbers[n]) for n in wanted)]
-    rewrite = FIELD_SEPARATOR.join(f"${g}" for g in groups)
-    fields = F.split(F.regexp_replace("value", f"^{LINE_PATTERN}", rewrite), FIELD_SEPARATOR, -1)
-    kept = [c for c in lines.columns if c != "value"]
-    split_lines = lines.select(*kept, F.explode(F.array(fields)).alias("_fields"))
+    groups = [S.OPTIONAL_TAIL_START + 1, *(group_of(numbers[n]) for n in wanted)]
+    return F.regexp_replace("value", f"^{LINE_PATTERN}", FIELD_SEPARATOR.join(f"${g}" for g in groups))
+
 
-    matched = F.size("_fields") == len(groups)
+def split_fields(captured: Column) -> Column:
+    """What ``captured_fields`` wrote, as the array that ``typed_columns`` reads."""
+    return F.split(captured, FIELD_SEPARATOR, -1)
+
+
+def typed_columns(fields: str, columns: Iterable[str] | None = None) -> list[Column]:
+    """The typed columns of the access log from an array of captured fields; NULL if the line did not match."""
+    wanted = _wanted(columns)
+    numbers = {n: i for i, (n, _) in enumerate(S.ACCESS_LOG_COLUMNS)}
+    types = dict(S.ACCESS_LOG_COLUMNS)
+    matched = F.size(fields) == len(wanted) + 1
 
     def column(position: int, name: str) -> Column:
         present = matched
         if numbers[name] >= S.OPTIONAL_TAIL_START:
-            present = matched & (F.get("_fields", F.lit(0)) == " ")
-        field = F.get("_fields", F.lit(position))
+            present = matched & (F.get(fields, F.lit(0)) == " ")
+        field = F.get(fields, F.lit(position))
         if types[name] == "bigint":
             # Most sizes that are no number are "-"; a failing cast costs far more than the test.
             return F.when(present & (field != S.NO_VALUE), field.try_cast("bigint")).alias(name)
         return F.when(present, field).alias(name)
 
-    return split_lines.select(*(column(i, n) for i, n in enumerate(wanted, start=1)), *kept)
+    return [column(i, n) for i, n in enumerate(wanted, start=1)]
+
+
+def _wanted(columns: Iterable[str] | None) -> list[str]:
+    chosen = None if columns is None else set(columns)
+    return [n for n, _ in S.ACCESS_LOG_COLUMNS if chosen is None or n in chosen]
+
+
+def parse_access_log(lines: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """``value`` text lines to the typed columns of the access log.
+
+    One regular-expression pass per line rewrites it into its captured fields;
+    only the fields asked for are written out. A line that does not match gives
+    NULL in every field. Other columns of ``lines`` are kept.
+
+    The rewrite sits inside a generator (one output row per line), because the
+    optimizer would otherwise copy it into every filter on a parsed column.
+    """
+    wanted = _wanted(columns)
+    fields = split_fields(captured_fields(wanted))
+    kept = [c for c in lines.columns if c != "value"]
+    split_lines = lines.select(*kept, F.explode(F.array(fields)).alias("_fields"))
+    return split_lines.select(*typed_columns("_fields", wanted), *kept)
 
 
 def render_access_log(logs: DataFrame) -> DataFrame:

@@ -125,6 +125,61 @@ def test_compacted_days_are_replaced(spark, skewed):
     assert Z.compact_days(spark, skewed, "2030/01/01", "2030/01/01", out) == []
 
 
+def _log_of(spark, days):
+    """A log folder of ``days``: day, its lines."""
+    base = work_dir(spark, "test-logs")
+    for day, lines in days.items():
+        spark.createDataFrame([(line,) for line in lines], "value string").repartition(3).write.text(f"{base}/{day}")
+    return base
+
+
+def _line(key, number):
+    return FULL.replace(FULL.split(" ")[8], key).replace("[06/Feb", f"[{number % 9 + 1:02d}/Feb")
+
+
+def test_compacted_days_that_fit_a_file_have_one(spark):
+    """Borders between files of one size fell into the middle of days."""
+    share = {"2024/01/02": 450, "2024/01/03": 350, "2024/01/04": 200}
+    base = _log_of(spark, {day: [_line(f"k/{n * 7919 % 1000:04d}", n) for n in range(many)] for day, many in share.items()})
+    sizes = {day: sum(len(r[0]) for r in L.scan_log_lines(spark, base, day, day).select("value").collect()) for day in share}
+    out = work_dir(spark, "test-compacted")
+    Z.compact_days(spark, base, "2024/01/01", "2024/01/31", out, int(max(sizes.values()) * Z.SHRINKING))
+    stored = Z.read_compacted(spark, out)
+    assert rows(stored.drop("date")) == rows(L.scan_access_log(spark, base, "2024/01/01", "2024/01/31"))
+    assert len(stored.inputFiles()) == 3
+    keys = [r[0] for r in spark.read.parquet(stored.inputFiles()[0]).select("key").collect()]
+    assert len(set(keys)) > 100 and keys == sorted(keys)
+
+
+def test_a_task_sorts_one_file_or_some_small_days(spark):
+    """All of a window's text went to one task up to the size of a file."""
+    days = {f"2024/01/{d:02d}": [_line(f"k/{n:04d}", n) for n in range(100)] for d in range(1, 13)}
+    days["2024/01/20"] = [_line(f"k/{n:04d}", n) for n in range(2_000)] + ["garbage", ""] + [FULL] * 40 + [SHORT]
+    base = _log_of(spark, days)
+    lines = L.scan_log_lines(spark, base, "2024/01/01", "2024/01/31")
+    day_size = sum(map(len, days["2024/01/01"]))
+    target = int(5 * day_size * Z.SHRINKING)
+    dealt = Z.deal_lines(lines, target, shared=3 * day_size)
+    size = F.sum(F.length("captured"))
+    tasks = dealt.groupBy(F.spark_partition_id().alias("task")).agg(F.sort_array(F.collect_set("timestamp")), size).collect()
+    assert sorted(days for _, days, _ in tasks if len(days) > 1) == [sorted(days_) for days_ in (
+        [f"2024/01/{d:02d}" for d in range(k, k + 3)] for k in (1, 4, 7, 10)
+    )]
+    assert sum(days == ["2024/01/20"] for _, days, _ in tasks) == 5 and max(n for _, _, n in tasks) < 8 * day_size
+    out = work_dir(spark, "test-compacted")
+    Z.compact_days(spark, base, "2024/01/01", "2024/01/31", out, target)
+    assert rows(Z.read_compacted(spark, out).drop("date")) == rows(L.parse_access_log(lines))
+
+
+def test_lines_are_sorted_once_and_not_as_columns(spark, skewed, monkeypatch):
+    plans = []
+    monkeypatch.setattr(Z, "write_run_as_is", lambda logs, *_: plans.append(physical_plan(logs)) or [])
+    Z.compact_days(spark, skewed, "2024/01/01", "2024/01/31", work_dir(spark, "test-compacted"))
+    (plan,) = plans
+    assert plan.count("Sort [") == 1
+    assert "hostid" not in plan.split("Sort [")[1]
+
+
 def test_jobs_refuse_another_zone(spark, geo):
     spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
     try:
