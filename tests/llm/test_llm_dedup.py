@@ -61,6 +61,21 @@ def test_suffix_dedup_of_a_passage_in_very_many_texts(spark):
     assert got == sorted(brute_spans(rows, 100), key=repr)
 
 
+def test_suffix_dedup_of_passages_at_the_limit(spark):
+    """Passages of over 50 words, in two texts each: 400 bytes are removed, 399 stay, as does all other text."""
+    draw = random.Random(7)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(draw.randint(3, 7)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    long, short = (prose(100)[:n] for n in (400, 399))
+    assert min(len(long.split()), len(short.split())) > 50
+    texts = [f"{prose(60)} {k}{passage}{k} {prose(60)}" for k, passage in enumerate([long, long, short, short, "", ""])]
+    rows = list(enumerate(texts))
+    query = suffix_dedup.suffix_query(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"))
+    got = found(query.drop("n_kept"))
+    assert got == sorted(brute_spans(rows, 400), key=repr)
+    assert [r[2] for r in got] == [400, 400, 0, 0, 0, 0]
+
+
 def test_suffix_dedup_of_an_empty_table(nothing):
     assert found(suffix_dedup.suffix_query(nothing)) == []
 
