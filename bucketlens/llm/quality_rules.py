@@ -46,12 +46,17 @@ RULES = (
 
 
 def compile_rules(rules: tuple[Rule, ...]) -> dict[str, Column]:
-    """One boolean column per rule: does the row pass? A metric without value passes."""
+    """One boolean column per rule: does the row pass? A metric without value passes.
+
+    A text without words has no value of any metric. CASE says so, as Spark computes
+    what both bounds share ahead of an OR, and would divide by zero words.
+    """
 
     def passes(rule: Rule) -> Column:
-        bounds = [f"({rule.metric}) >= {rule.low}D"] * (rule.low is not None)
-        bounds += [f"({rule.metric}) <= {rule.high}D"] * (rule.high is not None)
-        return F.expr(f"n_words = 0 OR coalesce({' AND '.join(bounds) or 'true'}, true)")
+        metric = f"CASE WHEN n_words > 0 THEN {rule.metric} END"
+        bounds = [f"({metric}) >= {rule.low}D"] * (rule.low is not None)
+        bounds += [f"({metric}) <= {rule.high}D"] * (rule.high is not None)
+        return F.expr(f"coalesce({' AND '.join(bounds) or 'true'}, true)")
 
     return {rule.name: passes(rule) for rule in rules}
 
